@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plafond.llm import bpe, split
+from plafond.llm import bpe, packing, split
 from plafond.session import table
 
 
@@ -21,7 +21,11 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p6_ids": p6_ids}
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p6_ids": p6_ids, "p7_containers": p7_containers}
 
 SQL = {
     "p1_found": r"""

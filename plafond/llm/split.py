@@ -17,7 +17,7 @@ _BLANK = re.compile(r"^[ \t\r]*$", re.M)
 _SEPARATORS = [
     re.compile(r"\n(?==+[^=\n])"),  # a section begins at its heading line
     re.compile(r"\n(?:[ \t\r]*\n)+"),  # a paragraph begins after blank lines
-    re.compile(r"(?<=[.!?:;])[\"'“”»«)\]]*\s+|\n"),  # a sentence or line
+    re.compile(r"(?<=\w{3}[.!?])[\"'“”»)\]]*\s+|\n"),  # a sentence (not after abbreviations such as St.) or a line
     re.compile(r"\s+"),  # a word
 ]
 
