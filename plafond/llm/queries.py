@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plafond.llm import bpe, packing, split
+from plafond.llm import bpe, canonical, packing, split
 from plafond.session import table
 
 
@@ -17,6 +17,17 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("cut_blocks").distinct()
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = canonical.vocabulary(table(spark, sf_dir, "wortliste"))
+    return canonical.found(table(spark, sf_dir, "layout_regions"), table(spark, sf_dir, "articles"), words)
+
+
+def p3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = canonical.vocabulary(table(spark, sf_dir, "wortliste"))
+    lines = canonical.region_lines(table(spark, sf_dir, "layout_regions")).unionByName(canonical.body_lines(table(spark, sf_dir, "articles")))
+    return canonical.canonical_lines(lines.distinct(), words)
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -25,7 +36,7 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p6_ids": p6_ids, "p7_containers": p7_containers}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p6_ids": p6_ids, "p7_containers": p7_containers}
 
 SQL = {
     "p1_found": r"""
