@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plafond.llm import bpe, canonical, packing, split
+from plafond.llm import bpe, canonical, packing, repeated, split
 from plafond.session import table
 
 
@@ -28,6 +28,15 @@ def p3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.canonical_lines(lines.distinct(), words)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated.found(table(spark, sf_dir, "layout_regions"))
+
+
+def p4_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    regions = table(spark, sf_dir, "layout_regions").dropDuplicates(["region_id"])
+    return repeated.without_boilerplate(regions).select("region_id", "band_prefix", "chunk", "page", "label", "reading_pos", "text", "lines", "lines_removed")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -36,7 +45,7 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p6_ids": p6_ids, "p7_containers": p7_containers}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p4_found": p4_found, "p4_regions": p4_regions, "p6_ids": p6_ids, "p7_containers": p7_containers}
 
 SQL = {
     "p1_found": r"""
