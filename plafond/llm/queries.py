@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plafond.llm import bpe, canonical, packing, repeated, split
+from plafond.llm import bpe, canonical, langid, packing, repeated, split
 from plafond.session import table
 
 
@@ -45,7 +45,17 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p4_found": p4_found, "p4_regions": p4_regions, "p6_ids": p6_ids, "p7_containers": p7_containers}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = langid.samples_of(table(spark, sf_dir, "lang_samples"))
+    return langid.found(table(spark, sf_dir, "documents"), samples)
+
+
+def p8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = langid.samples_of(table(spark, sf_dir, "lang_samples"))
+    return langid.languages(table(spark, sf_dir, "documents"), samples)
+
+
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p4_found": p4_found, "p4_regions": p4_regions, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_languages": p8_languages}
 
 SQL = {
     "p1_found": r"""
