@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plafond.llm import bpe, canonical, langid, packing, repeated, split
+from plafond.llm import bpe, canonical, langid, packing, repeated, scanned, split
 from plafond.session import table
 
 
@@ -37,6 +37,14 @@ def p4_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated.without_boilerplate(regions).select("region_id", "band_prefix", "chunk", "page", "label", "reading_pos", "text", "lines", "lines_removed")
 
 
+def _scan_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, t) for t in ("layout_regions", "articles", "liste_baende", "wortliste")]
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.found(*_scan_tables(spark, sf_dir))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -55,7 +63,7 @@ def p8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"), samples)
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p4_found": p4_found, "p4_regions": p4_regions, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_languages": p8_languages}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p4_found": p4_found, "p4_regions": p4_regions, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_languages": p8_languages}
 
 SQL = {
     "p1_found": r"""

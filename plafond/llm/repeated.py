@@ -183,11 +183,16 @@ def repeated_blocks(wanted: DataFrame, pages: DataFrame) -> DataFrame:
     return total.join(broadcast_if_small(pages), "volume").where(F.col("pages_with") >= _threshold()).select("volume", "block", "pages_with")
 
 
-def found(regions: DataFrame) -> DataFrame:
-    """region_id, line_no of every line that is part of a block on enough pages of its volume, once."""
+def boilerplate_lines(regions: DataFrame) -> DataFrame:
+    """volume, chunk, region_id, line_no of every line that is part of a block on enough pages of its volume."""
     wanted = candidate_lines(regions)
     kept = repeated_blocks(wanted, page_counts(regions)).select("volume", F.explode("block").alias("class")).distinct()
-    return wanted.join(broadcast_if_small(kept), ["volume", "class"]).select("region_id", "line_no").distinct()
+    return wanted.join(broadcast_if_small(kept), ["volume", "class"]).select("volume", "chunk", "region_id", "line_no")
+
+
+def found(regions: DataFrame) -> DataFrame:
+    """region_id, line_no of every boilerplate line, once."""
+    return boilerplate_lines(regions).select("region_id", "line_no").distinct()
 
 
 def without_boilerplate(regions: DataFrame) -> DataFrame:
