@@ -38,7 +38,7 @@ def p4_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [table(spark, sf_dir, t) for t in ("layout_regions", "articles", "liste_baende", "wortliste")]
+    return [table(spark, sf_dir, t) for t in ("layout_regions", "articles", "liste_baende", "wortliste", "lang_samples")]
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,8 @@ LEAST_LETTERS = 5
 HEADINGS = ["Section-header", "SectionHeader"]
 #: Longest block of lines that the suffix arrays tell apart. Longer blocks are found as their overlapping parts.
 LONGEST_BLOCK = 8
+#: Chunks of a volume that share a suffix array.
+PART = 8
 #: Letters at either end by which spellings with one misread place are brought together (long and short lines).
 LONG_END, SHORT_END, LONG_LINE = 6, 2, 16
 
@@ -79,8 +81,8 @@ def line_classes(lines: DataFrame, pages: DataFrame) -> DataFrame:
     last letters: one misread place leaves one end whole, so no pair is missed and no pairs are emitted within
     a group.
     """
-    by_page = lines.groupBy("volume", "key", "chunk", "page").agg(F.lit(1).alias("one"))
-    counts = by_page.groupBy("volume", "key").agg(F.count("*").alias("n"))
+    by_page = lines.select("volume", "key", "chunk", "page").distinct()
+    counts = cut(by_page.groupBy("volume", "key").agg(F.count("*").alias("n")))
     wide = counts.join(broadcast_if_small(pages), "volume")
     centres = wide.where(F.col("n") * 2 >= _threshold()).select("volume", F.col("key").alias("centre"), "n")
 
@@ -130,42 +132,56 @@ def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocks_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Blocks of one part of a volume (a chunk of pages) with the number of pages that hold them.
+    """Blocks of one part of a volume with the number of pages that hold them.
 
     The identifiers of the part's candidate lines are concatenated in reading order; wherever two are not
     neighbours (another region, page, or a line between them) a number that occurs once stands between them. All
     occurrences of a block are neighbours in the suffix array, joined by common prefixes of its length or more.
     """
-    volume = pdf["volume"].iloc[0]
-    rows = pdf.drop_duplicates(["region_id", "line_no"]).sort_values(["page", "pos", "region_id", "line_no"], kind="stable")
-    names, ids = np.unique(rows["class"].to_numpy(dtype=object).astype(str), return_inverse=True)
-    page, region, line = (rows[c].to_numpy() for c in ("page", "region_id", "line_no"))
-    seq, where = [], []
-    for i in range(len(rows)):
-        if i and not (region[i] == region[i - 1] and line[i] == line[i - 1] + 1):
-            seq.append(-i)
-            where.append(-1)
-        seq.append(int(ids[i]))
-        where.append(int(page[i]))
-    order, common = suffix_array(np.asarray(seq, np.int64))
+    rows = sorted(set(zip(*(pdf[c].tolist() for c in ("chunk", "page", "pos", "region_id", "line_no", "class")))))
+    names: dict[str, int] = {}
+    seq: list[int] = []
+    where: list[tuple | None] = []
+    run = longest = 0
+    before = None
+    for i, (chunk, page, _, region, line, name) in enumerate(rows):
+        if before == (region, line - 1):
+            run += 1
+        else:
+            run = 1
+            if i:
+                seq.append(-i)
+                where.append(None)
+        longest = max(longest, run)
+        before = (region, line)
+        seq.append(names.setdefault(name, len(names)))
+        where.append((chunk, page))
+    order, common = (x.tolist() for x in suffix_array(np.asarray(seq, np.int64)))
+    said = list(names)
     out = []
-    for depth in range(1, LONGEST_BLOCK + 1):
-        start, n = 0, len(order)
-        while start < n:
-            end = start + 1
-            while end < n and common[end] >= depth:
-                end += 1
-            block = seq[order[start] : order[start] + depth]
-            if len(block) == depth and min(block) >= 0:
-                out.append((volume, [str(names[b]) for b in block], len({where[k] for k in order[start:end]})))
-            start = end
-    return pd.DataFrame(out, columns=["volume", "block", "pages_with"])
+    for depth in range(1, min(longest, LONGEST_BLOCK) + 1):
+        # Suffixes that begin with a block of this length; those with the same one stand together.
+        block: list[int] = []
+        pages: set = set()
+        for k, start in enumerate(order):
+            if common[k] < depth:
+                if block:
+                    out.append(([said[b] for b in block], len(pages)))
+                block = seq[start : start + depth]
+                pages = set()
+                if len(block) < depth or min(block) < 0:
+                    block = []
+            if block:
+                pages.add(where[start])
+        if block:
+            out.append(([said[b] for b in block], len(pages)))
+    return pd.DataFrame({"volume": pdf["volume"].iloc[0], "block": [b for b, _ in out], "pages_with": [n for _, n in out]})
 
 
 def candidate_lines(regions: DataFrame) -> DataFrame:
     """The lines whose class may reach its volume's threshold: position in the volume and class. Written once."""
     lines = keyed_lines(regions)
-    classes = line_classes(lines, page_counts(regions))
+    classes = cut(line_classes(lines, cut(page_counts(regions))))
     wanted = lines.join(broadcast_if_small(classes), ["volume", "key"])
     return cut(wanted.select("volume", "chunk", "page", "pos", "region_id", "line_no", "class"))
 
@@ -173,12 +189,12 @@ def candidate_lines(regions: DataFrame) -> DataFrame:
 def repeated_blocks(wanted: DataFrame, pages: DataFrame) -> DataFrame:
     """volume, block (array of line classes), pages_with: blocks that stand on enough of their volume's pages.
 
-    Suffix arrays are built per volume and chunk, so a hot volume is many small tasks and memory is bounded by
-    the candidate lines of one chunk. Pages belong to one chunk, so the parts' page counts add up; blocks are
+    Suffix arrays are built per volume and PART chunks, so a hot volume is many groups and memory is bounded by
+    the candidate lines of so many pages. Pages belong to one part, so the parts' page counts add up; blocks are
     summed by partial aggregation. A block that is rare in each part but frequent in the volume is not missed,
     because parts report every block of candidate lines, also those that occur once there.
     """
-    parts = wanted.groupBy("volume", "chunk").applyInPandas(_blocks_of_part, "volume string, block array<string>, pages_with bigint")
+    parts = wanted.groupBy("volume", F.floor(F.col("chunk") / PART).alias("part")).applyInPandas(_blocks_of_part, "volume string, block array<string>, pages_with bigint")
     total = parts.groupBy("volume", "block").agg(F.sum("pages_with").alias("pages_with"))
     return total.join(broadcast_if_small(pages), "volume").where(F.col("pages_with") >= _threshold()).select("volume", "block", "pages_with")
 
@@ -186,7 +202,7 @@ def repeated_blocks(wanted: DataFrame, pages: DataFrame) -> DataFrame:
 def boilerplate_lines(regions: DataFrame) -> DataFrame:
     """volume, chunk, region_id, line_no of every line that is part of a block on enough pages of its volume."""
     wanted = candidate_lines(regions)
-    kept = repeated_blocks(wanted, page_counts(regions)).select("volume", F.explode("block").alias("class")).distinct()
+    kept = cut(repeated_blocks(wanted, page_counts(regions)).select("volume", F.explode("block").alias("class")).distinct())
     return wanted.join(broadcast_if_small(kept), ["volume", "class"]).select("volume", "chunk", "region_id", "line_no")
 
 
