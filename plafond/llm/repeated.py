@@ -27,7 +27,8 @@ LONG_END, SHORT_END, LONG_LINE = 6, 2, 16
 
 def line_key(line: str) -> str:
     """What is left of a line without case, digits, spacing, punctuation and differences of form."""
-    return "".join(filter(str.isalpha, canonical(line).casefold()))
+    form = canonical(line).casefold()
+    return form if form.isalpha() else "".join(filter(str.isalpha, form))
 
 
 def one_place(a: str, b: str) -> bool:
