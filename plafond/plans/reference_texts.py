@@ -66,14 +66,17 @@ def paragraph_start(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(rf"""
-WITH l AS ({BODY_LINES}), h AS (SELECT article_id, line_no, line, {ST} AS t FROM l)
+WITH x AS (SELECT article_id, regexp_replace(body, '\n$', '') || chr(10) || ' === ' || file_stem || ' ==' AS body FROM ({r.ARTICLES}) WHERE body IS NOT NULL),
+l AS (SELECT article_id, unnest(string_split(body, chr(10))) AS line, unnest(range(1, len(string_split(body, chr(10))) + 1))::INTEGER AS line_no FROM x), h AS (SELECT *, {ST} AS t FROM l)
 SELECT article_id, line_no, regexp_extract(t, '^(==+)\s*(.+?)\s*(==+)\s*$', 2) AS heading, starts_with(t, '== ') AND ends_with(t, ' ==') AND NOT starts_with(t, '=== ') AS level2,
   regexp_extract(line, '^\s*') || regexp_extract(t, '^(==+)\s*(.+?)\s*(==+)\s*$', 2) AS plain FROM h
 WHERE regexp_matches(t, '^(==+)\s*(.+?)\s*(==+)\s*$') AND regexp_extract(t, '^(==+)\s*(.+?)\s*(==+)\s*$', 2) NOT IN {NAMES}
 """)
 def noncanonical_heading(spark: SparkSession, d: str) -> DataFrame:
-    """Headings outside a set of names, and their lines without the heading signs."""
-    each = lines.exploded(bodies(spark, d), ["article_id"], "body").withColumn("heading", ft.heading_text(F.col("line")))
+    """Headings outside a set of names, and their lines without the heading signs. Both sides append one."""
+    rows = r.latest_articles(spark, d, "file_stem", "body").where("body is not null")
+    text = F.concat(F.regexp_replace("body", r"\n\z", ""), F.lit("\n === "), "file_stem", F.lit(" =="))
+    each = lines.exploded(rows.select("article_id", text.alias("body")), ["article_id"], "body").withColumn("heading", ft.heading_text(F.col("line")))
     return each.where(F.col("heading").isNotNull() & ~F.col("heading").isin(*CANONICAL)).select("article_id", "line_no", "heading", ft.is_heading2(F.col("line")).alias("level2"), F.concat(F.regexp_extract("line", r"\A\s*", 0), "heading").alias("plain"))
 
 
