@@ -152,7 +152,8 @@ def languages(docs: DataFrame, samples: list[tuple[str, str]], key: str = "doc_i
     Rows are judged where they lie (no shuffle) and whole, block by block; the profiles are a few hundred kB.
     """
     kinds = {c: docs.schema[c].dataType.simpleString() for c in (key, label)}
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.col(label).alias("_l"))
+    # As text, so that a null among the keys does not turn numbers into floats on the way through pandas.
+    rows = docs.select(F.col(key).cast("string").alias("_k"), F.col(text).alias("_t"), F.col(label).alias("_l"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         profiles = Profiles(samples)
@@ -164,24 +165,27 @@ def languages(docs: DataFrame, samples: list[tuple[str, str]], key: str = "doc_i
                 out += [(k, no, lang, conf, l) for no, lang, conf, _ in parts]
             yield pd.DataFrame(out, columns=["_k", "block_no", "lang", "confidence", "label"])
 
-    schema = f"_k {kinds[key]}, block_no int, lang string, confidence double, label {kinds[label]}"
-    return rows.mapInPandas(run, schema).withColumnRenamed("_k", key)
+    schema = f"_k string, block_no int, lang string, confidence double, label {kinds[label]}"
+    return rows.mapInPandas(run, schema).select(F.col("_k").cast(kinds[key]).alias(key), "block_no", "lang", "confidence", "label")
 
 
 def found(docs: DataFrame, samples: list[tuple[str, str]]) -> DataFrame:
     """(d, 0, L) where the label of d is not exactly its language L; (d, k, M) for each block of another language."""
-    judged = languages(docs, samples)
-    # Blocks of one document leave Python in one partition, so the cases are told there, without a shuffle.
+    judged = languages(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang"), samples)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    # Blocks of one document leave Python in one partition, so the cases are told there, without a shuffle.
     def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lang = None
         for pdf in batches:
-            keep = []
-            for no, l, label in zip(pdf["block_no"].tolist(), pdf["lang"].tolist(), pdf["label"].tolist()):
+            out = []
+            for k, no, l, label in zip(*(pdf[c].tolist() for c in ("doc_id", "block_no", "lang", "label"))):
                 if no == 0:
                     lang = l
-                keep.append(l is not None and l == l and (l != label if no == 0 else l != lang))
-            yield pdf.loc[keep, ["doc_id", "block_no", "lang"]]
+                if isinstance(l, str) and l != (label if no == 0 else lang):
+                    out.append((k, no, l))
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "block_no", "lang"])
 
-    return judged.mapInPandas(tell, f"doc_id {kind}, block_no int, lang string").distinct()
+    told = judged.mapInPandas(tell, "doc_id string, block_no int, lang string")
+    return told.select(F.col("doc_id").cast(kind).alias("doc_id"), "block_no", "lang").distinct()

@@ -68,7 +68,7 @@ def _local(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, pid = bpe.words(tokenizer), TaskContext.get().partitionId()
-        made = 0
+        made, key_type = 0, None
 
         def pack(keys: list, parts: list[int], starts: list[int], sizes: list[int]) -> pa.RecordBatch:
             nonlocal made
@@ -76,11 +76,12 @@ def _local(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str) ->
             base = (pid << 36) + made
             made += len(fills)
             bins = np.asarray(where, np.int64)
-            columns = [pa.array(keys), pa.array(parts, pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bins + base), pa.array(np.asarray(fills, np.int32)[bins]), pa.array(np.full(len(keys), pid, np.int32))]
+            columns = [pa.array(keys, key_type), pa.array(parts, pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bins + base), pa.array(np.asarray(fills, np.int32)[bins]), pa.array(np.full(len(keys), pid, np.int32))]
             return pa.RecordBatch.from_arrays(columns, names=[key, "part_no", "token_start", "n_tokens", "bin", "fill", "pid"])
 
         keys, parts, starts, sizes = [], [], [], []
         for batch in batches:
+            key_type = batch.column(0).type
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 n = len(bpe.encode_bytes(t, cache)) // 4
                 for part, at in enumerate(range(0, max(n, 1), capacity), 1):

@@ -48,8 +48,12 @@ def one_place(a: str, b: str) -> bool:
 
 
 def keyed_lines(regions: DataFrame) -> DataFrame:
-    """volume, chunk, page, pos, region_id, line_no, key of every line that may count, null ones left out."""
-    rows = regions.where(~F.col("label").isin(HEADINGS) | F.col("label").isNull()).where(F.size("lines") > 0).select(F.col("band_prefix").alias("volume"), "chunk", "page", F.col("reading_pos").alias("pos"), "region_id", "lines")
+    """volume, chunk, page, pos, region_id, line_no, key of every line that may count.
+
+    Null lines and regions without a volume, chunk, page or id are left out; a null label is no heading.
+    """
+    there = regions.where("band_prefix is not null and chunk is not null and page is not null and region_id is not null")
+    rows = there.where(~F.col("label").isin(HEADINGS) | F.col("label").isNull()).where(F.size("lines") > 0).select(F.col("band_prefix").alias("volume"), "chunk", "page", F.coalesce("reading_pos", F.lit(0)).alias("pos"), "region_id", "lines")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

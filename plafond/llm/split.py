@@ -106,7 +106,8 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
 
     Only rows over the limit, found by a JVM filter, reach Python; rows stay where they are (no shuffle).
     """
-    rows = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
+    # As text, so that a null among the keys does not turn numbers into floats on the way through pandas.
+    rows = df.select(F.col(key).cast("string").alias("_k"), F.col(text).alias("_t"))
     kind = df.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,10 +118,10 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
                 out += [(k, i, a, b, t[a:b], long if i == 1 else []) for i, (a, b) in enumerate(pieces(t, limit, overlap), 1)]
             yield pd.DataFrame(out, columns=["_k", "piece_no", "piece_start", "piece_end", "piece", "cut_blocks"])
 
-    over = rows.where(F.length("_t") > limit).mapInPandas(cut, f"_k {kind}, {SCHEMA}")
+    over = rows.where(F.length("_t") > limit).mapInPandas(cut, f"_k string, {SCHEMA}")
     none = F.array().cast("array<int>")
     within = rows.where((F.length("_t") <= limit) | F.col("_t").isNull()).select("_k", F.lit(1).alias("piece_no"), F.lit(0).alias("piece_start"), F.length("_t").alias("piece_end"), F.col("_t").alias("piece"), none.alias("cut_blocks"))
-    return over.unionByName(within).withColumnRenamed("_k", key)
+    return over.unionByName(within).select(F.col("_k").cast(kind).alias(key), "piece_no", "piece_start", "piece_end", "piece", "cut_blocks")
 
 
 def found(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> DataFrame:
