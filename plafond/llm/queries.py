@@ -45,6 +45,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.found(*_scan_tables(spark, sf_dir))
 
 
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.paragraphs(*_scan_tables(spark, sf_dir))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -63,7 +67,7 @@ def p8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"), samples)
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p4_found": p4_found, "p4_regions": p4_regions, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_languages": p8_languages}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_lines": p3_lines, "p4_found": p4_found, "p4_regions": p4_regions, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_languages": p8_languages}
 
 SQL = {
     "p1_found": r"""
