@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,17 +57,20 @@ def keyed_lines(regions: DataFrame) -> DataFrame:
     there = regions.where("band_prefix is not null and chunk is not null and page is not null and region_id is not null")
     rows = there.where(~F.col("label").isin(HEADINGS) | F.col("label").isNull()).where(F.size("lines") > 0).select(F.col("band_prefix").alias("volume"), "chunk", "page", F.coalesce("reading_pos", F.lit(0)).alias("pos"), "region_id", "lines")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sizes = [len(x) for x in pdf["lines"]]
-            at = np.repeat(np.arange(len(pdf)), sizes)
-            keys = [line_key(x) if x else "" for ls in pdf["lines"] for x in ls]
-            out = pdf.drop(columns="lines").iloc[at]
-            out["line_no"] = np.concatenate([np.arange(1, n + 1) for n in sizes]) if sizes else []
-            out["key"] = keys
-            yield out[out["key"].str.len() >= LEAST_LETTERS]
-
-    return rows.mapInPandas(run, "volume string, chunk int, page int, pos int, region_id bigint, line_no int, key string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("lines")
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            keys = [line_key(x) if x else "" for x in lists.flatten().to_pylist()]
+            keep = np.array([len(k) >= LEAST_LETTERS for k in keys], bool)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            line_no = np.arange(1, len(row) + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            at = pa.array(row[keep])
+            columns = [batch.column(c).take(at) for c in ("volume", "chunk", "page", "pos", "region_id")]
+            columns += [pa.array(line_no[keep].astype(np.int32)), pa.array([k for k, yes in zip(keys, keep) if yes], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["volume", "chunk", "page", "pos", "region_id", "line_no", "key"])
+
+    return rows.mapInArrow(run, "volume string, chunk int, page int, pos int, region_id bigint, line_no int, key string")
 
 
 def page_counts(regions: DataFrame) -> DataFrame:
