@@ -75,11 +75,12 @@ def paired(events: DataFrame, key: list[str], order: str, is_start: Column, is_e
     return out.where("_s").select(*key, F.col(order).alias("start_at"), "end_at", "next_start")
 
 
-def without_footer(pages: DataFrame, text: str) -> DataFrame:
-    """``text`` without the rule and what follows it before the last citation comment at the bottom, and
-    the number of characters ``removed``.
+def without_footer(pages: DataFrame, text: str, most: int = 18) -> DataFrame:
+    """``text`` without the rule and what follows it before the last citation comment at the bottom, the
+    number of characters ``removed``, and whether that was ``applied``.
 
-    The rule must stand within the 14 lines above the comment; blank lines above the rule go with it.
+    The rule must stand within the 14 lines above the comment; blank lines above the rule go with it. More than
+    ``most`` characters are only reported: the text then stays as it was.
     """
     step = pages.withColumn("_lines", F.split(text, "\n")).withColumn("_n", F.size("_lines"))
     step = step.withColumn("_bottom", F.col("_n") - F.array_position(F.transform(F.reverse("_lines"), lambda x: x.contains("citation-page-bottom:")), True).cast("int"))
@@ -91,7 +92,8 @@ def without_footer(pages: DataFrame, text: str) -> DataFrame:
     step = step.withColumn("_full", F.array_max(F.transform("_head", lambda x, i: F.when(strip(x) != "", i + 1).otherwise(0))))
     kept = F.array_join(F.concat(F.slice("_head", 1, F.coalesce("_full", F.lit(0))), F.slice("_lines", F.col("_bottom") + 1, F.col("_n"))), "\n")
     step = step.withColumn("_cut", F.coalesce(F.when(F.col("_up") > 0, kept), F.col(text)))
-    out = step.withColumn("removed", F.length(text) - F.length("_cut")).withColumn(text, F.col("_cut"))
+    out = step.withColumn("removed", F.length(text) - F.length("_cut")).withColumn("applied", F.col("removed").between(1, most))
+    out = out.withColumn(text, F.when(F.col("applied"), F.col("_cut")).otherwise(F.col(text)))
     return out.drop("_lines", "_n", "_bottom", "_low", "_near", "_up", "_head", "_full", "_cut")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plafond.functions import articles as fa
 from plafond.functions import text as ft
-from plafond.operators import layout, lines, payloads
+from plafond.operators import citations, layout, lines, payloads
 from plafond.plans import reference as r
 from plafond.session import table
 
@@ -156,17 +156,17 @@ def ndjson_concat(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH x AS (SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN chr(10) || '----' || chr(10) || '12' WHEN 1 THEN chr(10) || chr(10) || '---- ' || chr(10) || chr(10) WHEN 2 THEN '' ELSE chr(10) || '----' || repeat(chr(10) || 'x', 14) END AS foot FROM documents WHERE length(regexp_replace(text, '\s', '', 'g')) > 0 AND NOT contains(text, 'citation-page-bottom') AND NOT regexp_matches(text, '----')),
+WITH x AS (SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN chr(10) || '----' || chr(10) || '12' WHEN 1 THEN chr(10) || chr(10) || '---- ' || chr(10) || chr(10) WHEN 2 THEN chr(10) || '----' || chr(10) || repeat('zu lang', 9) ELSE chr(10) || '----' || repeat(chr(10) || 'x', 14) END AS foot FROM documents WHERE length(regexp_replace(text, '\s', '', 'g')) > 0 AND NOT contains(text, 'citation-page-bottom') AND NOT regexp_matches(text, '----')),
 y AS (SELECT doc_id, regexp_replace(text, '\s+$', '') AS head, foot, chr(10) || '<!-- citation-page-bottom: B p1 -->' AS tail FROM x)
-SELECT doc_id, head || CASE WHEN doc_id % 4 IN (0, 1) THEN '' ELSE foot END || tail AS text, CASE WHEN doc_id % 4 IN (0, 1) THEN length(foot) ELSE 0 END::INTEGER AS removed FROM y
+SELECT doc_id, head || CASE WHEN doc_id % 4 IN (0, 1) THEN '' ELSE foot END || tail AS text, CASE WHEN doc_id % 4 < 3 THEN length(foot) ELSE 0 END::INTEGER AS removed, doc_id % 4 IN (0, 1) AS applied FROM y
 """)
 def footer_trim(spark: SparkSession, d: str) -> DataFrame:
     """Footers, appended to texts by the same expression on both sides, taken off again."""
     k = F.col("doc_id") % 4
-    foot = F.when(k == 0, "\n----\n12").when(k == 1, "\n\n---- \n\n").when(k == 2, "").otherwise("\n----" + "\nx" * 14)
+    foot = F.when(k == 0, "\n----\n12").when(k == 1, "\n\n---- \n\n").when(k == 2, "\n----\n" + "zu lang" * 9).otherwise("\n----" + "\nx" * 14)
     docs = table(spark, d, "documents").where((F.length(F.regexp_replace("text", r"\s", "")) > 0) & ~F.contains("text", F.lit("citation-page-bottom")) & ~F.col("text").contains("----"))
     built = docs.select("doc_id", F.concat(F.regexp_replace("text", r"\s+\z", ""), foot, F.lit("\n<!-- citation-page-bottom: B p1 -->")).alias("text"))
-    return lines.without_footer(built, "text").select("doc_id", "text", "removed")
+    return lines.without_footer(built, "text").select("doc_id", "text", "removed", "applied")
 
 
 @query(r"""
@@ -179,6 +179,35 @@ def page_comment_parse(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where(F.col("text").rlike(form)).select("doc_id", F.regexp_extract("text", form, 1).alias("volume"), F.regexp_extract("text", form, 2).cast("int").alias("page"))
 
 
+@query(r"""
+WITH x AS (SELECT d.doc_id, d.text, d.source || '_chunk' || lpad((d.doc_id // 25 + 1)::VARCHAR, 3, '0') AS folder, (d.doc_id % 25 + 1) AS page, coalesce(replace(v.citation_label, ' ', ''), d.source) AS label,
+  (coalesce(v.chunk_offset, 0) + d.doc_id // 25) * 50 + (d.doc_id % 25 + 1) * 2 - 2 AS top FROM documents d LEFT JOIN volumes v ON v.band_prefix = d.source WHERE d.text IS NOT NULL)
+SELECT doc_id, '<!-- dropbox: https://example.org/scans/' || folder || '.pdf#page=' || page || ' -->' || chr(10) || '<!-- citation-page-top: ' || label || ' p' || top || ' -->' || chr(10) || regexp_replace(text, '\n+$', '') ||
+  chr(10) || '<!-- citation-page-bottom: ' || label || ' p' || (top + 1) || ' -->' || chr(10) AS text, true AS changed, false AS changed_again FROM x
+""")
+def page_relink(spark: SparkSession, d: str) -> DataFrame:
+    """Raw pages (built from texts and keys) linked, and linked again without a change."""
+    docs = table(spark, d, "documents").where("text is not null")
+    folder = F.concat("source", F.lit("_chunk"), F.lpad(F.expr("doc_id div 25 + 1").cast("string"), 3, "0"))
+    page = F.concat(F.lit("<!-- "), folder, F.lit(" Page "), (F.col("doc_id") % 25 + 1).cast("string"), F.lit(" -->\n<!-- x_chunk1 Original Page 3 -->\n"), "text")
+    volumes, url = table(spark, d, "volumes"), "https://example.org/scans"
+    once = citations.relinked(docs.select("doc_id", page.alias("text")), "text", volumes, url)
+    twice = citations.relinked(once.withColumnRenamed("changed", "first"), "text", volumes, url)
+    return twice.select("doc_id", "text", F.col("first").alias("changed"), F.col("changed").alias("changed_again"))
+
+
+@query(r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL),
+n AS (SELECT doc_id, i, line, try_cast(regexp_extract(line, '<!-- citation-page-(?:top|bottom): \S+ p([0-9]+) -->', 1) AS INTEGER) AS n FROM l),
+s AS (SELECT doc_id, i, line, CASE WHEN n >= 100 THEN regexp_replace(line, ' p[0-9]+ -->', ' p' || (n + 2) || ' -->') ELSE line END AS new FROM n)
+SELECT doc_id, string_agg(new, chr(10) ORDER BY i) AS text, count(*) FILTER (WHERE new <> line)::INTEGER AS changed_lines FROM s GROUP BY 1
+""")
+def page_shift_text(spark: SparkSession, d: str) -> DataFrame:
+    """Texts with their citation comments moved, and the number of lines changed."""
+    docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text", citations.shifted(F.col("text"), 100, 2).alias("new"))
+    return docs.select("doc_id", F.col("new").alias("text"), citations.changed_lines(F.col("text"), F.col("new")).alias("changed_lines"))
+
+
 # ------------------------------------------------------------------ layout
 
 
