@@ -10,7 +10,7 @@ from plafond.functions.text import is_heading, lines_of, strip, table_of_pipes
 
 def exploded(df: DataFrame, key: list[str], text: str) -> DataFrame:
     """``key, line_no, line``, numbered from 1. A null text has no line, an empty one has one."""
-    return df.select(*key, F.posexplode(lines_of(F.col(text))).alias("i", "line")).select(*key, (F.col("i") + 1).alias("line_no"), "line")
+    return df.select(*key, F.posexplode(lines_of(F.col(text))).alias("_i", "line")).select(*key, (F.col("_i") + 1).alias("line_no"), "line")
 
 
 def rejoined(lines: DataFrame, key: list[str], line: str = "line", order: str = "line_no", name: str = "text") -> DataFrame:
