@@ -20,7 +20,8 @@ CAPACITY = 2_048
 FULL = 0.98
 #: Partitions whose underfull containers meet in one round, and items packed at a time within a partition.
 FAN_IN, BATCH = 8, 65_536
-#: Underfull containers that a group hands on to the next round, the emptiest first; the others are done.
+#: Underfull containers that a group (or a batch of items) hands on to the next round, the emptiest first; the
+#: others are done.
 HANDED_ON = 256
 
 
@@ -75,9 +76,13 @@ def _local(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str) ->
             where, fills = best_fit(sizes, capacity)
             base = (pid << 36) + made
             made += len(fills)
-            bins = np.asarray(where, np.int64)
-            columns = [pa.array(keys, key_type), pa.array(parts, pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bins + base), pa.array(np.asarray(fills, np.int32)[bins]), pa.array(np.full(len(keys), pid, np.int32))]
-            return pa.RecordBatch.from_arrays(columns, names=[key, "part_no", "token_start", "n_tokens", "bin", "fill", "pid"])
+            bins, fill = np.asarray(where, np.int64), np.asarray(fills, np.int32)
+            # The emptiest of the underfull containers go on to be merged.
+            handed = np.zeros(len(fills), bool)
+            handed[np.argsort(fill, kind="stable")[:HANDED_ON]] = True
+            handed &= fill < FULL * capacity
+            columns = [pa.array(keys, key_type), pa.array(parts, pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bins + base), pa.array(fill[bins]), pa.array(handed[bins]), pa.array(np.full(len(keys), pid, np.int32))]
+            return pa.RecordBatch.from_arrays(columns, names=[key, "part_no", "token_start", "n_tokens", "bin", "fill", "handed", "pid"])
 
         keys, parts, starts, sizes = [], [], [], []
         for batch in batches:
@@ -92,7 +97,7 @@ def _local(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str) ->
         if keys:
             yield pack(keys, parts, starts, sizes)
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, part_no int, token_start bigint, n_tokens int, bin bigint, fill int, pid int")
+    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, part_no int, token_start bigint, n_tokens int, bin bigint, fill int, handed boolean, pid int")
 
 
 def _merge(bins: DataFrame, capacity: int) -> DataFrame:
@@ -108,10 +113,8 @@ def _merge(bins: DataFrame, capacity: int) -> DataFrame:
         pdf = pdf.sort_values("bin", kind="stable")
         where, fills = best_fit(pdf["fill"].tolist(), capacity)
         members: list[list[int]] = [[] for _ in fills]
-        first = [0] * len(fills)
-        for b, name, m in zip(where, pdf["bin"].tolist(), pdf["members"].tolist()):
+        for b, m in zip(where, pdf["members"].tolist()):
             members[b].extend(m)
-            first[b] = first[b] or name
         out = pd.DataFrame({"grp": int(pdf["grp"].iloc[0]), "bin": [m[0] for m in members], "fill": fills, "members": members})
         rank = out["fill"].rank(method="first")
         out["done"] = (out["fill"] >= FULL * capacity) | (rank > HANDED_ON)
@@ -135,8 +138,7 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = CAPACITY, tokenizer
     a lost executor can't change container names between rounds.
     """
     items = cut(_local(df, key, text, capacity, tokenizer))
-    bins = items.groupBy("bin").agg(F.first("fill").alias("fill"), F.first("pid").alias("grp"))
-    under = bins.where(F.col("fill") < FULL * capacity)
+    under = items.where("handed").groupBy("bin").agg(F.first("fill").alias("fill"), F.first("pid").alias("grp"))
     worst = under.select("bin", "fill", F.col("grp").cast("bigint").alias("grp"), F.array("bin").alias("members"))
     groups = (items.agg(F.max("pid")).first()[0] or 0) + 1
     done = None
