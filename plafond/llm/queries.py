@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from plafond.llm import bpe, canonical, langid, packing, repeated, scanned, split
 from plafond.session import table
 
 
+def _latest(rows: DataFrame, key: str) -> DataFrame:
+    """The row of latest delivery per key."""
+    w = Window.partitionBy(key).orderBy(F.desc("delivered_at"))
+    return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.found(table(spark, sf_dir, "articles"), "article_id", "body")
 
 
 def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = split.split_oversized(table(spark, sf_dir, "articles"), "article_id", "body")
-    return pieces.drop("cut_blocks").distinct()
+    articles = _latest(table(spark, sf_dir, "articles").select("article_id", "body", "delivered_at"), "article_id")
+    return split.split_oversized(articles, "article_id", "body").drop("cut_blocks")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +31,9 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = canonical.vocabulary(table(spark, sf_dir, "wortliste"))
-    lines = canonical.region_lines(table(spark, sf_dir, "layout_regions")).unionByName(canonical.body_lines(table(spark, sf_dir, "articles")))
-    return canonical.canonical_lines(lines.distinct(), words)
+    regions = table(spark, sf_dir, "layout_regions").select("region_id", "lines").dropDuplicates(["region_id"])
+    articles = _latest(table(spark, sf_dir, "articles").select("article_id", "body", "delivered_at"), "article_id")
+    return canonical.canonical_lines(canonical.region_lines(regions).unionByName(canonical.body_lines(articles)), words)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,8 +41,9 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = table(spark, sf_dir, "layout_regions").dropDuplicates(["region_id"])
-    return repeated.without_boilerplate(regions).select("region_id", "band_prefix", "chunk", "page", "label", "reading_pos", "text", "lines", "lines_removed")
+    raw = table(spark, sf_dir, "layout_regions")
+    once = raw.select("region_id", "band_prefix", "chunk", "page", "label", "reading_pos", "text", "lines").dropDuplicates(["region_id"])
+    return repeated.without_boilerplate(once, raw)
 
 
 def _scan_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

@@ -221,13 +221,15 @@ def found(regions: DataFrame) -> DataFrame:
     return boilerplate_lines(regions).select("region_id", "line_no").distinct()
 
 
-def without_boilerplate(regions: DataFrame) -> DataFrame:
+def without_boilerplate(regions: DataFrame, deliveries: DataFrame | None = None) -> DataFrame:
     """The regions with ``lines`` and ``text`` freed of boilerplate lines, and the number taken out of each.
 
+    Boilerplate is told from ``deliveries``, the table before repeated rows were taken out, if it is given.
+
     Headings stay. A region that is nothing but boilerplate keeps an empty list and text; null lines and texts
     stay null. Repeated deliveries of a region are treated alike. All other columns pass through.
     """
-    gone = found(regions).groupBy("region_id").agg(F.collect_set("line_no").alias("_gone"))
+    gone = found(regions if deliveries is None else deliveries).groupBy("region_id").agg(F.collect_set("line_no").alias("_gone"))
     joined = regions.join(gone, "region_id", "left")
     kept = F.filter("lines", lambda x, i: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), i + 1))
     out = joined.withColumn("lines", F.when(F.col("_gone").isNull(), F.col("lines")).otherwise(kept))
