@@ -6,7 +6,7 @@ lines, file names), both sides build it from columns with the same expression; t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plafond.functions import articles as fa
@@ -30,8 +30,11 @@ def query(sql: str | None = None):
     return add
 
 
-def latest_articles(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """The latest delivery of every article, with only the columns needed."""
+def latest_articles(spark: SparkSession, d: str, *columns: str | Column) -> DataFrame:
+    """The latest delivery of every article, with only the columns needed.
+
+    Columns may be expressions: measures are computed in the scan, so that texts do not go through the shuffle.
+    """
     w = Window.partitionBy("article_id").orderBy(F.desc("delivered_at"))
     rows = table(spark, d, "articles").select("article_id", "delivered_at", *columns)
     return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "delivered_at")
@@ -63,8 +66,8 @@ FROM m GROUP BY ROLLUP (grp)
 """)
 def corpus_stats_rollup(spark: SparkSession, d: str) -> DataFrame:
     """A1-A4, P10: articles, characters, words, embeds and tokens by kind of article, with a total."""
-    rows = latest_articles(spark, d, "fields", "body").where("body is not null")
-    rows = rows.select(F.coalesce(F.col("fields")["Meta"], F.lit("")).alias("meta"), F.length("body").cast("bigint").alias("chars"), ft.words(F.col("body")).alias("words"), ft.embeds(F.col("body")).alias("embeds"))
+    meta = F.coalesce(F.col("fields")["Meta"], F.lit(""))
+    rows = latest_articles(spark, d, meta.alias("meta"), F.length("body").cast("bigint").alias("chars"), ft.words(F.col("body")).alias("words"), ft.embeds(F.col("body")).alias("embeds")).where("chars is not null")
     return reports.corpus_stats(rows, F.when(F.col("meta") != "", "meta").otherwise("content"))
 
 
@@ -83,13 +86,13 @@ SELECT article_id, {N_EMBEDS}::BIGINT AS opened, len(regexp_extract_all(body, '(
 """)
 def embed_counters(spark: SparkSession, d: str) -> DataFrame:
     """A5: the two counters of file links per article."""
-    return latest_articles(spark, d, "body").where("body is not null").select("article_id", ft.embeds(F.col("body")).alias("opened"), ft.closed_embeds(F.col("body")).alias("closed"))
+    return latest_articles(spark, d, ft.embeds(F.col("body")).alias("opened"), ft.closed_embeds(F.col("body")).alias("closed")).where("opened is not null")
 
 
 @query(f"SELECT article_id, CASE WHEN length(body) < 1000 THEN 'small' WHEN length(body) > 50000 THEN 'large' ELSE 'normal' END AS size_band FROM ({ARTICLES}) WHERE body IS NOT NULL")
 def size_bands(spark: SparkSession, d: str) -> DataFrame:
     """F8."""
-    return latest_articles(spark, d, "body").where("body is not null").select("article_id", ft.size_band(F.length("body")).alias("size_band"))
+    return latest_articles(spark, d, F.length("body").alias("n")).where("n is not null").select("article_id", ft.size_band(F.col("n")).alias("size_band"))
 
 
 @query("SELECT DISTINCT band_prefix FROM layout_regions ORDER BY 1")

@@ -153,10 +153,10 @@ FROM a LEFT JOIN o ON a.file_stem = o.ort_key WHERE body IS NOT NULL
 """)
 def place_missing(spark: SparkSession, d: str) -> DataFrame:
     """Articles joined with the metadata list; does the body name its place?"""
-    a = r.latest_articles(spark, d, "file_stem", "fields", "body").where("body is not null")
-    listed = r.latest_list(spark, d, "bauwerk").select(F.col("bauwerk").alias("file_stem"), F.lit(True).alias("has_row")).where("file_stem is not null").distinct()
     ort = F.coalesce(F.col("fields")["Ort"], F.lit(""))
-    return a.join(listed, "file_stem", "left").select("article_id", F.coalesce("has_row", F.lit(False)).alias("has_row"), ort.alias("ort"), ((ort != "") & ~F.contains("body", ort)).alias("place_missing"), (F.length("body") < 1000).alias("small"))
+    a = r.latest_articles(spark, d, "file_stem", ort.alias("ort"), ((ort != "") & ~F.contains("body", ort)).alias("place_missing"), (F.length("body") < 1000).alias("small")).where("small is not null")
+    listed = r.latest_list(spark, d, "bauwerk").select(F.col("bauwerk").alias("file_stem"), F.lit(True).alias("has_row")).where("file_stem is not null").distinct()
+    return a.join(listed, "file_stem", "left").select("article_id", F.coalesce("has_row", F.lit(False)).alias("has_row"), "ort", "place_missing", "small")
 
 
 @query("""
