@@ -96,6 +96,20 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
 SCHEMA = "piece_no int, piece_start int, piece_end int, piece string, cut_blocks array<int>"
 
 
+def _cut_rows(rows: DataFrame, limit: int, overlap: int) -> DataFrame:
+    """Pieces of the rows (_k, _t) whose text is over the limit."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for k, t in zip(pdf["_k"].tolist(), pdf["_t"].tolist()):
+                long = [i for i, (a, b) in enumerate(blocks(t), 1) if b - a > limit]
+                out += [(k, i, a, b, t[a:b], long if i == 1 else []) for i, (a, b) in enumerate(pieces(t, limit, overlap), 1)]
+            yield pd.DataFrame(out, columns=["_k", "piece_no", "piece_start", "piece_end", "piece", "cut_blocks"])
+
+    return rows.where(F.length("_t") > limit).mapInPandas(cut, f"_k string, {SCHEMA}")
+
+
 def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """Pieces of every row: ``key, piece_no, piece_start, piece_end, piece, cut_blocks``.
 
@@ -109,16 +123,7 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
     # As text, so that a null among the keys does not turn numbers into floats on the way through pandas.
     rows = df.select(F.col(key).cast("string").alias("_k"), F.col(text).alias("_t"))
     kind = df.schema[key].dataType.simpleString()
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for k, t in zip(pdf["_k"].tolist(), pdf["_t"].tolist()):
-                long = [i for i, (a, b) in enumerate(blocks(t), 1) if b - a > limit]
-                out += [(k, i, a, b, t[a:b], long if i == 1 else []) for i, (a, b) in enumerate(pieces(t, limit, overlap), 1)]
-            yield pd.DataFrame(out, columns=["_k", "piece_no", "piece_start", "piece_end", "piece", "cut_blocks"])
-
-    over = rows.where(F.length("_t") > limit).mapInPandas(cut, f"_k string, {SCHEMA}")
+    over = _cut_rows(rows, limit, overlap)
     none = F.array().cast("array<int>")
     within = rows.where((F.length("_t") <= limit) | F.col("_t").isNull()).select("_k", F.lit(1).alias("piece_no"), F.lit(0).alias("piece_start"), F.length("_t").alias("piece_end"), F.col("_t").alias("piece"), none.alias("cut_blocks"))
     return over.unionByName(within).select(F.col("_k").cast(kind).alias(key), "piece_no", "piece_start", "piece_end", "piece", "cut_blocks")
@@ -126,6 +131,7 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
 
 def found(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> DataFrame:
     """(key, 0) for every text that came out in several pieces and (key, k) for every block cut inside."""
-    cut = split_oversized(df.where(F.length(text) > limit), key, text, limit).where("piece_no = 1")
+    kind = df.schema[key].dataType.simpleString()
+    first = _cut_rows(df.select(F.col(key).cast("string").alias("_k"), F.col(text).alias("_t")), limit, OVERLAP).where("piece_no = 1")
     numbers = F.concat(F.array(F.lit(0)), "cut_blocks")
-    return cut.select(key, F.explode(numbers).alias("block_no")).distinct()
+    return first.select(F.col("_k").cast(kind).alias(key), F.explode(numbers).alias("block_no")).distinct()
