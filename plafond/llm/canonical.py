@@ -28,11 +28,11 @@ LOOK_ALIKES = dict(
 #: ASCII, Latin letters in one piece, dashes, quotation marks and a few signs of the German typewriter.
 PLAIN = r"\x20-\x7e\t\r¬§°±·«»¡¿¢£¥©®¶×÷À-ÖØ-öø-ÿĀ-ıĴ-ľŁ-ňŊ-ž‐‒-‟‹›†‡€"
 _ODD = re.compile(f"[^{PLAIN}]")
-_SPACES = re.compile(r"[  ᠎ -     　]")
+_SPACES = re.compile(r"[\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def _ignorable(ch: str) -> bool:
-    return unicodedata.category(ch) == "Cf" or ch in "͏ᅟᅠ឴឵ㅤﾠ" or "︀" <= ch <= "️"
+    return unicodedata.category(ch) == "Cf" or ch in "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0" or "\ufe00" <= ch <= "\ufe0f"
 
 
 @lru_cache(maxsize=4096)
