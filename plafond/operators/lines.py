@@ -67,9 +67,10 @@ def paragraph_starts(lines: DataFrame, key: list[str]) -> DataFrame:
 def paired(events: DataFrame, key: list[str], order: str, is_start: Column, is_end: Column) -> DataFrame:
     """Every start with the first end after it; without one, ``end_at`` is the next start, else null.
 
-    Overlaps stay: two starts may share an end.
+    Overlaps stay: two starts may share an end. The window runs backwards, so its frame only grows: linear in the
+    rows of a key, where a frame that shrinks towards the end would be quadratic.
     """
-    after = Window.partitionBy(*key).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*key).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
     first = lambda c: F.min(F.when(c, F.col(order))).over(after)
     out = events.withColumn("_s", is_start).withColumn("end_at", first(is_end)).withColumn("next_start", first(is_start))
     return out.where("_s").select(*key, F.col(order).alias("start_at"), "end_at", "next_start")
