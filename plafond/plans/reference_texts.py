@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plafond.functions import articles as fa
@@ -147,8 +149,22 @@ WITH w AS (SELECT doc_id, string_split(left(regexp_replace(text, '[^a-z ]', '',
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN array_to_string(ws, '') ELSE coalesce(ws[1], '') || CASE WHEN doc_id % 3 = 1 AND len(ws) > 1 THEN array_to_string(ws[2:], '') ELSE '' END END AS response FROM w
 """)
 def ndjson_concat(spark: SparkSession, d: str) -> DataFrame:
-    """Streams of JSON lines, built word by word from texts, one in three with an early end; bad lines between."""
-    words = F.split(F.substr(F.regexp_replace("text", "[^a-z ]", ""), F.lit(1), F.lit(400)), " ")
+    """Streams of JSON lines, built word by word from texts, one in three with an early end; bad lines between.
+
+    The SQL and so this query take the first 400 letters of each text; ndjson_whole takes them all.
+    """
+    return streams(spark, d, lambda letters: F.substr(letters, F.lit(1), F.lit(400)))
+
+
+@query()
+def ndjson_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The streams of ndjson_concat, built from the whole texts. Tested by brute force."""
+    return streams(spark, d, lambda letters: letters)
+
+
+def streams(spark: SparkSession, d: str, part: Callable[[Column], Column]) -> DataFrame:
+    """Responses of the streams built from a part of the letters of each text."""
+    words = F.split(part(F.regexp_replace("text", "[^a-z ]", "")), " ")
     early = F.col("doc_id") % 3 == 2
     line = lambda w, i: F.concat(F.lit('{"response":"'), w, F.lit('","done":'), F.when(early & (i == 0), "true").otherwise("false"), F.lit("}\nbad\n\n5"))
     payload = F.array_join(F.transform("w", line), "\n")
