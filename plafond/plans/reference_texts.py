@@ -177,12 +177,29 @@ y AS (SELECT doc_id, regexp_replace(text, '\s+$', '') AS head, foot, chr(10) ||
 SELECT doc_id, head || CASE WHEN doc_id % 4 IN (0, 1) THEN '' ELSE foot END || tail AS text, CASE WHEN doc_id % 4 < 3 THEN length(foot) ELSE 0 END::INTEGER AS removed, doc_id % 4 IN (0, 1) AS applied FROM y
 """)
 def footer_trim(spark: SparkSession, d: str) -> DataFrame:
-    """Footers, appended to texts by the same expression on both sides, taken off again."""
+    """Footers, appended to texts by the same expression on both sides, taken off again.
+
+    Texts that are blank or have a comment at the bottom or a rule of their own are left out, as in the SQL;
+    footer_trim_all takes them too.
+    """
+    docs = table(spark, d, "documents").where((F.length(F.regexp_replace("text", r"\s", "")) > 0) & ~F.contains("text", F.lit("citation-page-bottom")) & ~F.col("text").contains("----"))
+    return lines.without_footer(docs.select("doc_id", with_footer().alias("text")), "text").select("doc_id", "text", "removed", "applied")
+
+
+@query()
+def footer_trim_all(spark: SparkSession, d: str) -> DataFrame:
+    """Footers taken off all texts. Texts with comments at the bottom are taken as they are, all others with
+    a footer appended. Tested by brute force."""
+    docs = table(spark, d, "documents").where("text is not null")
+    text = F.when(F.contains("text", F.lit("citation-page-bottom:")), F.col("text")).otherwise(with_footer())
+    return lines.without_footer(docs.select("doc_id", text.alias("text")), "text").select("doc_id", "text", "removed", "applied")
+
+
+def with_footer() -> Column:
+    """The text with one of four footers and a comment at the bottom."""
     k = F.col("doc_id") % 4
     foot = F.when(k == 0, "\n----\n12").when(k == 1, "\n\n---- \n\n").when(k == 2, "\n----\n" + "zu lang" * 9).otherwise("\n----" + "\nx" * 14)
-    docs = table(spark, d, "documents").where((F.length(F.regexp_replace("text", r"\s", "")) > 0) & ~F.contains("text", F.lit("citation-page-bottom")) & ~F.col("text").contains("----"))
-    built = docs.select("doc_id", F.concat(F.regexp_replace("text", r"\s+\z", ""), foot, F.lit("\n<!-- citation-page-bottom: B p1 -->")).alias("text"))
-    return lines.without_footer(built, "text").select("doc_id", "text", "removed", "applied")
+    return F.concat(F.regexp_replace("text", r"\s+\z", ""), foot, F.lit("\n<!-- citation-page-bottom: B p1 -->"))
 
 
 @query(r"""

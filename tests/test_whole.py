@@ -32,3 +32,29 @@ def test_whole_streams(spark, documents):
             want[i] = words[0] if i % 3 == 2 else "".join(words)
     assert max(map(len, want.values())) > 400
     assert {r.doc_id: r.response for r in rt.QUERIES["ndjson_whole"](spark, d).collect()} == want
+
+
+def trimmed(text):
+    """(text, removed, applied) of a page, line by line."""
+    rows = text.split("\n")
+    bottoms = [i for i, x in enumerate(rows) if "citation-page-bottom:" in x]
+    cut = text
+    if bottoms:
+        rules = [i for i in range(max(0, bottoms[-1] - 14), bottoms[-1]) if rows[i].strip().startswith("----")]
+        if rules:
+            head = rows[: rules[-1]]
+            while head and not head[-1].strip():
+                head.pop()
+            cut = "\n".join(head + rows[bottoms[-1] :])
+    removed = len(text) - len(cut)
+    return (cut if 1 <= removed <= 18 else text), removed, 1 <= removed <= 18
+
+
+def test_footers_of_all_texts(spark, documents):
+    end = "<!-- citation-page-bottom: Band01 p3 -->"
+    own = [f"a\n----\n7\n{end}", f"a\n{end}\nb\n\n ----\n9\n{end}\nc", f"{end}\nb\n----\n8", f"----\n{end}", f"a\n----\nb\n----\n{end}", f"a\n----\n{'y' * 30}\n{end}", f"a\n----{'\nz' * 14}\n{end}"]
+    d, texts = documents([*TEXTS, "   ", "a\n----\nb", *own, *own[:3]])
+    feet = ["\n----\n12", "\n\n---- \n\n", "\n----\n" + "zu lang" * 9, "\n----" + "\nx" * 14]
+    want = {i: trimmed(t if "citation-page-bottom:" in t else re.sub(r"\s+\Z", "", t) + feet[i % 4] + "\n<!-- citation-page-bottom: B p1 -->") for i, t in texts.items() if t is not None}
+    assert {r.doc_id: (r.text, r.removed, r.applied) for r in rt.QUERIES["footer_trim_all"](spark, d).collect()} == want
+    assert want[max(want)] == (own[2], 0, False) and any(x[2] and texts[i].count(end) == 2 for i, x in want.items())
