@@ -42,6 +42,7 @@ LEAST_WORD = 3
 HYPHENS = "-¬=‐‑­"
 _JOINING = {"und", "oder", "sowie", "bzw", "bis", "als", "wie", "noch"}
 _WORD = re.compile(r"[^\W\d_]+")
+_NUMBER = re.compile(r"\d+(?:er|te|[cdkm]m|kg|ff)")
 _OUTER = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "„“”‚‘’»«›‹–—·§°…¬"
 _PAGE_NO = re.compile(r"[\s\-–—|\[\]()·.]*(?:S\.\s*)?[0-9lI|OoSBZ]{1,4}[\s\-–—|\[\]()·]*")
 _BAND_NOTE = re.compile(r"\(Band [^)]*\)\s*$")
@@ -334,6 +335,12 @@ def _clean(token: str) -> tuple[str, bool, bool]:
     return fold(core), len(left) == len(token), len(core) == len(left)
 
 
+def _too_short(core: str) -> bool:
+    """Whether a word is too short to be judged. Digits and signs that may stand for letters count; a word has two
+    letters at least, and a number with a short ending is none."""
+    return len(core) < LEAST_WORD or sum(map(len, _WORD.findall(core))) < 2 or bool(_NUMBER.fullmatch(core))
+
+
 class Reader:
     """Turns pages into cases that are certain and sites that need a look at the vocabulary."""
 
@@ -348,8 +355,7 @@ class Reader:
             if len(self.memo) > 300_000:
                 self.memo.clear()
             core, before, behind = _clean(token)
-            has = [w for w in _WORD.findall(core)]
-            fine = core in self.usual or not has or max(map(len, has)) < LEAST_WORD
+            fine = core in self.usual or _too_short(core)
             if not fine and "-" in core:
                 fine = all(w in self.usual or len(w) < LEAST_WORD for w in core.split("-"))
             got = self.memo[token] = (core, before, behind, fine)
@@ -486,8 +492,9 @@ def candidates(unknown: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _parts_known(words: DataFrame, known: DataFrame) -> DataFrame:
-    """Words with hyphens or slashes inside whose every part is known (or short)."""
-    parts = words.where(F.col("word").rlike(r"[-/.–]")).select("word", F.explode(F.split("word", r"[-/.–]+")).alias("part"))
+    """Words with hyphens or slashes inside whose every part is known (or short). Two letters, a full stop and two
+    letters are no abbreviation."""
+    parts = words.where(F.col("word").rlike(r"[-/.–]") & ~F.col("word").rlike(r"\A\p{L}{2}\.\p{L}{2}\z")).select("word", F.explode(F.split("word", r"[-/.–]+")).alias("part"))
     hit = parts.join(known.select(F.col("word").alias("part"), F.lit(True).alias("k")), "part", "left")
     return hit.groupBy("word").agg(F.min(F.coalesce("k", F.length("part") < LEAST_WORD)).alias("all")).where("all").select("word")
 

@@ -85,3 +85,17 @@ def test_paragraphs(tables):
 def test_empty(tables):
     assert s.found(*[t.limit(0) for t in tables]).count() == 0
     assert s.paragraphs(*[t.limit(0) for t in tables]).count() == 0
+
+
+@pytest.mark.parametrize("token, looked_at", [("i3s", True), ("ap5is", True), ("lä5st", True), ("sa|nd", True), ("au.ch", True), ("1st", True), ("12", False), ("5er", False), ("12cm", False), ("a1", False), ("b.", False), ("2b3", False)])
+def test_short_words_with_other_characters(token, looked_at):
+    assert s.Reader(set(), set()).token(token)[3] is not looked_at
+
+
+def test_short_misread_words(spark, tables):
+    words = ["ve|rs", "lä5st", "au.ch", "z.B.", "5er", "u.a."]
+    regions = spark.createDataFrame([(n, "Band01", 1, n, "Text", 0, [f"Es {w} so"], None) for n, w in enumerate(words, 1)], REGION)
+    empty = [t.limit(0) for t in tables]
+    articles = spark.createDataFrame([("Es so auch der vers lässt läst " * 60,)], "body string")
+    got = s.scan_cases(regions, articles, empty[2], empty[3], empty[4]).collect()
+    assert {(r.region_id, r.wrong, r.entry) for r in got} == {(1, "ve|rs", "vers"), (2, "lä5st", "lässt"), (3, "au.ch", "auch")}
