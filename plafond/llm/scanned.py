@@ -17,8 +17,9 @@ from plafond.llm.canonical import canonical
 from plafond.llm.repeated import line_key, one_place
 from plafond.session import broadcast_if_small, cut
 
-#: Words and word pairs that are sent to the workers as known, the most frequent of the trusted texts. This only
-#: saves work: every other word goes the long way, by joins.
+#: Words and word pairs that are sent to the workers as known, the most frequent of the trusted texts. Every other word
+#: goes the long way, by joins. With more trusted words than these, a rarer word broken into two usual ones is lost,
+#: and pairs are not counted against it.
 USUAL_WORDS, USUAL_PAIRS = 30_000, 20_000
 #: A word outside the trusted texts is a misreading of a similar word that is so many times as frequent: if the two
 #: differ as recognition confuses letters, if a letter is lost, and in any other way.
