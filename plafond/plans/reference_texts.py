@@ -90,7 +90,20 @@ SELECT CASE WHEN levenshtein(bare, 'Befund') = 0 THEN 'exact' ELSE 'fuzzy' END A
 """)
 def fuzzy_heading(spark: SparkSession, d: str) -> DataFrame:
     """Exact and near spellings of a heading, counted (lines of ASCII, where both engines agree)."""
-    near = lines.fuzzy_lines(lines.exploded(bodies(spark, d), ["article_id"], "body"), "Befund").where(F.col("bare").rlike(r"\A[\x01-\x7f]+\z"))
+    return heading_counts(near_headings(spark, d).where(F.col("bare").rlike(r"\A[\x01-\x7f]+\z")))
+
+
+@query()
+def fuzzy_heading_all(spark: SparkSession, d: str) -> DataFrame:
+    """The counts of fuzzy_heading over lines of any characters. Tested by brute force."""
+    return heading_counts(near_headings(spark, d))
+
+
+def near_headings(spark: SparkSession, d: str) -> DataFrame:
+    return lines.fuzzy_lines(lines.exploded(bodies(spark, d), ["article_id"], "body"), "Befund")
+
+
+def heading_counts(near: DataFrame) -> DataFrame:
     return near.groupBy(F.when(F.col("distance") == 0, "exact").otherwise("fuzzy").alias("match_kind"), "in_heading").agg(F.count("*").alias("n"))
 
 

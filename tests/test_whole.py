@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pytest
 
@@ -58,3 +59,21 @@ def test_footers_of_all_texts(spark, documents):
     want = {i: trimmed(t if "citation-page-bottom:" in t else re.sub(r"\s+\Z", "", t) + feet[i % 4] + "\n<!-- citation-page-bottom: B p1 -->") for i, t in texts.items() if t is not None}
     assert {r.doc_id: (r.text, r.removed, r.applied) for r in rt.QUERIES["footer_trim_all"](spark, d).collect()} == want
     assert want[max(want)] == (own[2], 0, False) and any(x[2] and texts[i].count(end) == 2 for i, x in want.items())
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_headings_of_any_characters(spark, monkeypatch):
+    bare = ["Befund", "Befünd", "Be\u00a0fund", "Bëfünd", "Bäföüd", "Befunde", "Grund", "Ölbild", "Bild"]
+    body = "\n".join([*bare, *(f"== {x} ==" for x in bare)])
+    rows = spark.createDataFrame([(1, body)], "article_id bigint, body string")
+    monkeypatch.setattr(rt, "bodies", lambda spark, d: rows)
+    want = Counter(("exact" if x == "Befund" else "fuzzy", h) for x in bare for h in (False, True) if edits(x, "Befund") <= 3)
+    assert {(r.match_kind, r.in_heading): r.n for r in rt.QUERIES["fuzzy_heading_all"](spark, "").collect()} == dict(want)
