@@ -6,7 +6,7 @@ lines, file names), both sides build it from columns with the same expression; t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plafond.functions import articles as fa
@@ -14,7 +14,7 @@ from plafond.functions import keys as fk
 from plafond.functions import text as ft
 from plafond.operators import layout, lines, pages, reports
 from plafond.operators.intervals import latest_by
-from plafond.session import broadcast_if_small, table
+from plafond.session import broadcast_if_small, once, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -33,16 +33,14 @@ def query(sql: str | None = None):
 def latest_articles(spark: SparkSession, d: str, *columns: str | Column) -> DataFrame:
     """The latest delivery of every article, with only the columns needed.
 
-    Columns may be expressions: measures are computed in the scan, so that texts do not go through the shuffle.
+    Columns may be expressions: measures are computed in the scan. Texts do not go through a shuffle.
     """
-    w = Window.partitionBy("article_id").orderBy(F.desc("delivered_at"))
-    rows = table(spark, d, "articles").select("article_id", "delivered_at", *columns)
-    return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "delivered_at")
+    return once(table(spark, d, "articles"), "article_id", "delivered_at", "article_id", *columns)
 
 
 def regions(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """Layout regions, each once, with only the columns needed."""
-    return table(spark, d, "layout_regions").select("region_id", *columns).dropDuplicates(["region_id"])
+    return once(table(spark, d, "layout_regions"), "region_id", "ingested_at", "region_id", *columns)
 
 
 ARTICLES = "SELECT DISTINCT ON (article_id) * FROM articles ORDER BY article_id, delivered_at DESC"

@@ -88,7 +88,7 @@ SELECT s.user_id, s.event_id AS start_at, (SELECT min(t.event_id) FROM t WHERE t
 def start_end_pairing(spark: SparkSession, d: str) -> DataFrame:
     """Every start event with the next end event of its user."""
     e = table(spark, d, "events").select("user_id", "event_id", "event_type")
-    ends = broadcast_if_small(e.agg(F.min("event_type").alias("a"), F.max("event_type").alias("z")))
+    ends = F.broadcast(e.agg(F.min("event_type").alias("a"), F.max("event_type").alias("z")))  # one row
     e = e.join(ends, F.col("event_type").isin(F.col("a"), F.col("z")))
     return paired(e, ["user_id"], "event_id", F.col("event_type") == F.col("a"), F.col("event_type") == F.col("z"))
 
