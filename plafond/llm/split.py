@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -51,60 +52,73 @@ def _units(text: str, lo: int, hi: int, limit: int, level: int = 0) -> Iterator[
         yield from _units(text, at, hi, limit, level + 1)
 
 
-def _overlap_start(text: str, floor: int, end: int) -> int:
-    """Where in [floor, end] the next piece begins: the first boundary of the strongest kind, else the floor."""
+def _overlap_start(text: str, floor: int, end: int) -> int | None:
+    """Where in [floor, end) the next piece begins: the first boundary of the strongest kind; None if there is none."""
     for sep in _SEPARATORS:
         m = sep.search(text, max(0, floor - 1), end)
         while m and m.end() < floor:
             m = sep.search(text, m.end(), end)
         if m and m.end() < end:
             return m.end()
-    return floor
+    return None
 
 
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
     """Spans (start, end) of the pieces of a text: each at most ``limit`` long, together covering every character.
 
-    Units of the separator hierarchy are packed greedily. A piece after the first starts up to ``overlap``
-    characters before the end of the one before: at a boundary in that stretch if there is one, and with less
-    or no overlap where the next unit would not fit otherwise (the unit's own start is then the boundary).
+    Units of the separator hierarchy are packed greedily. A piece after the first starts ``overlap`` characters
+    before the end of the one before, or later where a boundary in that stretch lets it begin there. A unit that
+    would leave no room for that is cut one level lower, so that every border has an overlap.
     """
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be from 0 to below the limit")
     out: list[tuple[int, int]] = []
     start = end = 0
-    # A unit cut at bare characters has no boundary at its start, so such runs leave room for the whole overlap.
-    queue = list(_units(text, 0, len(text), limit))
-    k = 0
-    while k < len(queue):
-        lo, hi = queue[k]
+    queue = list(_units(text, 0, len(text), limit))[::-1]
+    while queue:
+        lo, hi = queue.pop()
         if hi - start > limit:
+            if hi - max(end - overlap, 0) <= limit:
+                begin = _overlap_start(text, end - overlap, end)
+                begin = end - overlap if begin is None else begin
+            else:
+                # Only a part of the overlap fits: enough if a boundary stands there, else the unit is too long.
+                begin = _overlap_start(text, hi - limit, end) if hi - limit < end else None
+                if begin is None and overlap:
+                    queue += list(_units(text, lo, hi, limit - overlap))[::-1]
+                    continue
+                begin = end if begin is None else begin
             out.append((start, end))
-            room = max(end - overlap, hi - limit)
-            start = _overlap_start(text, room, end) if room < end else end
-            if start == end and end > 0 and not text[end - 1].isspace():
-                start = end - overlap  # inside a word: keep the overlap and cut this unit shorter
-                queue[k : k + 1] = [(lo, start + limit), (start + limit, hi)]
-                hi = start + limit
+            start = begin
         end = hi
-        k += 1
     if end > start or not out:
         out.append((start, end))
     return out
 
 
+def cut_blocks(text: str, spans: list[tuple[int, int]], limit: int = LIMIT) -> list[int]:
+    """Numbers of the blocks that a border between pieces falls into and that exceed the limit by themselves.
+
+    A block beyond the limit can't lie within one piece; a shorter one may be cut too, before a heading or where
+    greedy packing ends.
+    """
+    borders = [b for _, b in spans]
+    return [k for k, (a, b) in enumerate(blocks(text), 1) if borders[bisect_right(borders, a)] < b and b - a > limit]
+
+
 SCHEMA = "piece_no int, piece_start int, piece_end int, piece string, cut_blocks array<int>"
 
 
 def _cut_rows(rows: DataFrame, limit: int, overlap: int) -> DataFrame:
-    """Pieces of the rows (_k, _t) whose text is over the limit."""
+    """Pieces of the rows (_k, _t) whose text is over the limit; cut_blocks stands on the first."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for k, t in zip(pdf["_k"].tolist(), pdf["_t"].tolist()):
-                long = [i for i, (a, b) in enumerate(blocks(t), 1) if b - a > limit]
-                out += [(k, i, a, b, t[a:b], long if i == 1 else []) for i, (a, b) in enumerate(pieces(t, limit, overlap), 1)]
+                spans = pieces(t, limit, overlap)
+                inside = cut_blocks(t, spans, limit)
+                out += [(k, i, a, b, t[a:b], [] if i > 1 else inside) for i, (a, b) in enumerate(spans, 1)]
             yield pd.DataFrame(out, columns=["_k", "piece_no", "piece_start", "piece_end", "piece", "cut_blocks"])
 
     return rows.where(F.length("_t") > limit).mapInPandas(cut, f"_k string, {SCHEMA}")
@@ -114,7 +128,7 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
     """Pieces of every row: ``key, piece_no, piece_start, piece_end, piece, cut_blocks``.
 
     piece_no counts from 1; the positions are those of characters in the text. cut_blocks (on the first piece)
-    names the blocks that are longer than the limit by themselves and so had to be cut inside. A text within
+    names the blocks that are longer than the limit by themselves and were cut inside. A text within
     the limit is its own only piece, an empty text gives one empty piece, a null text one null piece. Repeated
     rows give repeated pieces. Other columns are ignored, whatever their names.
 
@@ -129,9 +143,21 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
     return over.unionByName(within).select(F.col("_k").cast(kind).alias(key), "piece_no", "piece_start", "piece_end", "piece", "cut_blocks")
 
 
-def found(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> DataFrame:
-    """(key, 0) for every text that came out in several pieces and (key, k) for every block cut inside."""
+def found(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """(key, 0) for every text that came out in several pieces and (key, k) for every block cut for its own length.
+
+    Read off the pieces; repeated rows give their cases once; a null key is kept.
+    """
     kind = df.schema[key].dataType.simpleString()
-    first = _cut_rows(df.select(F.col(key).cast("string").alias("_k"), F.col(text).alias("_t")), limit, OVERLAP).where("piece_no = 1")
-    numbers = F.concat(F.array(F.lit(0)), "cut_blocks")
-    return first.select(F.col("_k").cast(kind).alias(key), F.explode(numbers).alias("block_no")).distinct()
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for k, t in zip(pdf["_k"].tolist(), pdf["_t"].tolist()):
+                spans = pieces(t, limit, overlap)
+                if len(spans) > 1:
+                    out += [(k, n) for n in (0, *cut_blocks(t, spans, limit))]
+            yield pd.DataFrame(out, columns=["_k", "block_no"])
+
+    rows = df.select(F.col(key).cast("string").alias("_k"), F.col(text).alias("_t")).where(F.length("_t") > limit)
+    return rows.mapInPandas(tell, "_k string, block_no int").select(F.col("_k").cast(kind).alias(key), "block_no").distinct()

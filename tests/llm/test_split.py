@@ -51,3 +51,22 @@ def test_frame_with_nulls_empty_repeats_and_clashing_columns(spark):
     assert len(by[4]) == 4 and len(by[None]) == 2 and all(len(r.piece) <= 8000 for r in by[4])
     assert {tuple(r) for r in split.found(df, "article_id", "body").collect()} == {(4, 0), (4, 1), (None, 0), (None, 1)}
     assert split.split_oversized(df.limit(0), "article_id", "body").count() == 0
+
+
+def test_every_border_has_an_overlap():
+    """The second unit would nearly fill a piece: it is cut one level lower."""
+    text = "a" * 3000 + ".\n\n" + " ".join(f"Satz{i:04d}." for i in range(780)) + "\n\n" + "Ende. " * 500
+    got = split.pieces(text)
+    assert len(got) > 1 and all(0 < b - c <= 200 for (_, b), (c, _) in zip(got, got[1:])) and max(b - a for a, b in got) <= 8000
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS, st.integers(8, 60), st.integers(1, 6))
+def test_cuts_tell_the_blocks_beyond_the_limit(text, limit, overlap):
+    spans = split.pieces(text, limit, overlap)
+    assert split.cut_blocks(text, spans, limit) == [k for k, (a, b) in enumerate(split.blocks(text), 1) if b - a > limit]
+    assert all(c < b for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_without_cuts_there_are_no_cut_blocks():
+    assert split.cut_blocks("x" * 9000, [(0, 9000)]) == [] and split.cut_blocks("x" * 9000, split.pieces("x" * 9000)) == [1]
