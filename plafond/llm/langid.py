@@ -8,14 +8,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plafond.llm.canonical import canonical
 from plafond.llm.split import blocks
 
-#: Labelled sentences up to which the profiles are fitted (taken in the order of their text), and their length.
-SAMPLE_ROWS, PROFILE = 20_000, 800
+#: Labelled sentences per language that its profile is fitted on at most (chosen by a hash of the text), and the
+#: length of a profile.
+SAMPLE_ROWS, PROFILE = 5_000, 800
 #: n-grams of 1 to LONGEST letters, words padded with a space on either side.
 LONGEST = 3
 #: Most frequent n-grams of a text that are compared.
@@ -44,7 +45,7 @@ def _plain_words(text: str) -> list[str]:
 
 
 class Profiles(dict):
-    """Rank-order profiles of languages; as a dict, a cache: token -> the numbers of its n-grams as int16 bytes.
+    """Rank-order profiles of languages; as a dict, a cache: token -> the numbers of its n-grams as int32 bytes.
 
     Only n-grams of some profile are numbered, in order of overall frequency, so equally frequent n-grams of a
     text rank by that. An n-gram that a language's profile lacks is PROFILE places out.
@@ -69,7 +70,7 @@ class Profiles(dict):
 
     def __missing__(self, token: str) -> bytes:
         found = [n for w in _plain_words(token) for g in ngrams(w) if (n := self.number.get(g)) is not None]
-        ids = np.array(found, np.int16).tobytes()
+        ids = np.array(found, np.int32).tobytes()
         if len(token) < 60:
             if len(self) > _CACHE:
                 self.clear()
@@ -78,11 +79,12 @@ class Profiles(dict):
 
     def distances(self, text: str) -> np.ndarray | None:
         """Mean number of places that the text's most frequent n-grams are out, per language; None without any."""
-        ids = np.frombuffer(b"".join(map(self.__getitem__, text.lower().split())), np.int16)
+        ids = np.frombuffer(b"".join(map(self.__getitem__, text.lower().split())), np.int32)
         if not len(ids):
             return None
-        counts = np.minimum(np.bincount(ids, minlength=len(self.number)), 32_000).astype(np.int16)
-        top = np.argsort(-counts, kind="stable")[: min(COMPARED, int(np.count_nonzero(counts)))]
+        counts = np.bincount(ids)
+        there = np.flatnonzero(counts)
+        top = there[np.argsort(-counts[there], kind="stable")[:COMPARED]]
         out = np.abs(self.ranks[:, top] - np.arange(len(top)))
         return out.mean(axis=1)
 
@@ -139,9 +141,15 @@ def languages_of(text: str, profiles: Profiles) -> tuple[tuple[str, float] | Non
     return (lang, round(sure[lang] / sum(size.values()), 4)), found
 
 
-def samples_of(rows: DataFrame) -> list[tuple[str, str]]:
-    """At most SAMPLE_ROWS labelled sentences, the first by text."""
-    return [(r[0], r[1]) for r in rows.select("lang", "text").where("lang is not null and text is not null").orderBy("text").limit(SAMPLE_ROWS).collect()]
+def samples_of(rows: DataFrame, most: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
+    """At most ``most`` labelled sentences of every language, chosen by a hash of their text.
+
+    The bound holds for each language by itself, so none is lost beside larger ones. Sentences of a language over
+    the bound are left out within the partitions first, so no task sees a language whole.
+    """
+    known = rows.select("lang", "text").where("lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    return [(r[0], r[1]) for r in known.withColumn("r", rank).where(F.col("r") <= most).select("lang", "text").collect()]
 
 
 def languages(docs: DataFrame, samples: list[tuple[str, str]], key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
@@ -155,8 +163,10 @@ def languages(docs: DataFrame, samples: list[tuple[str, str]], key: str = "doc_i
     # As text, so that a null among the keys does not turn numbers into floats on the way through pandas.
     rows = docs.select(F.col(key).cast("string").alias("_k"), F.col(text).alias("_t"), F.col(label).alias("_l"))
 
+    shared = docs.sparkSession.sparkContext.broadcast(samples)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        profiles = Profiles(samples)
+        profiles = Profiles(shared.value)
         for pdf in batches:
             out = []
             for k, t, l in zip(pdf["_k"].tolist(), pdf["_t"].tolist(), pdf["_l"].tolist()):

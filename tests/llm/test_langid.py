@@ -39,3 +39,25 @@ def test_documents_and_blocks(spark, samples):
     assert {r.doc_id for r in all_rows if r.block_no == 0 and r.lang is None} == {4, 5, 6}
     assert langid.found(df.limit(0), samples).count() == 0
     assert langid.found(df, []).count() == 0
+
+
+def test_many_languages_in_scripts_of_their_own():
+    """More n-grams than 16 bits can number; every language is told."""
+    letters = lambda k: [chr(0x4E00 + 40 * k + i) for i in range(40)]
+    rng = random.Random(1)
+    text = lambda k: " ".join("".join(rng.choices(letters(k), k=6)) for _ in range(400))
+    samples = [(f"l{k:02d}", text(k)) for k in range(60)]
+    p = langid.Profiles(samples)
+    assert len(p.number) > 40_000
+    assert [p.langs[int(p.distances(text(k)).argmin())] for k in range(60)] == [f"l{k:02d}" for k in range(60)]
+
+
+def test_counts_of_long_texts_do_not_saturate():
+    p = langid.Profiles([("x", "aab aab aac"), ("y", "ccb ccb")])
+    assert (p.distances("aab " * 50_000 + "aac " * 40_000) == p.distances("aab " * 5 + "aac " * 4)).all()
+
+
+def test_samples_are_bounded_by_language(spark):
+    rows = [("aa", f"satz {i}") for i in range(50)] + [("zz", f"zeile {i}") for i in range(3)] + [(None, "x"), ("aa", None)]
+    got = langid.samples_of(spark.createDataFrame(rows, "lang string, text string"), 10)
+    assert sum(l == "aa" for l, _ in got) == 10 and sum(l == "zz" for l, _ in got) == 3
