@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -19,12 +20,13 @@ SHARE, LEAST_PAGES = 0.1, 6
 #: Lines with fewer letters never count; nor do lines of regions with these labels.
 LEAST_LETTERS = 5
 HEADINGS = ["Section-header", "SectionHeader"]
-#: Longest block of lines that the suffix arrays tell apart. Longer blocks are found as their overlapping parts.
-LONGEST_BLOCK = 8
 #: Chunks of a volume that share a suffix array.
 PART = 8
 #: Letters at either end by which spellings with one misread place are brought together (long and short lines).
 LONG_END, SHORT_END, LONG_LINE = 6, 2, 16
+#: A line beside a matching one is part of their block if it is up to this share of its length from what the block has
+#: there. Only such lines may differ in more than one place.
+GARBLED = 1 / 3
 
 
 def line_key(line: str) -> str:
@@ -50,7 +52,7 @@ def one_place(a: str, b: str) -> bool:
 
 
 def keyed_lines(regions: DataFrame) -> DataFrame:
-    """volume, chunk, page, pos, region_id, line_no, key of every line that may count.
+    """volume, chunk, page, pos, region_id, line_no, key, h of every line that may count; h is the key's 64-bit hash.
 
     Null lines and regions without a volume, chunk, page or id are left out; a null label is no heading.
     """
@@ -70,7 +72,7 @@ def keyed_lines(regions: DataFrame) -> DataFrame:
             columns += [pa.array(line_no[keep].astype(np.int32)), pa.array([k for k, yes in zip(keys, keep) if yes], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["volume", "chunk", "page", "pos", "region_id", "line_no", "key"])
 
-    return rows.mapInArrow(run, "volume string, chunk int, page int, pos int, region_id bigint, line_no int, key string")
+    return rows.mapInArrow(run, "volume string, chunk int, page int, pos int, region_id bigint, line_no int, key string").withColumn("h", F.xxhash64("key"))
 
 
 def page_counts(regions: DataFrame) -> DataFrame:
@@ -78,39 +80,16 @@ def page_counts(regions: DataFrame) -> DataFrame:
     return regions.select(F.col("band_prefix").alias("volume"), "chunk", "page").distinct().groupBy("volume").agg(F.count("*").alias("pages"))
 
 
-def _threshold() -> Column:
-    return F.greatest(F.lit(LEAST_PAGES), F.ceil(F.col("pages") * SHARE - F.lit(1e-9)))
-
-
-def line_classes(lines: DataFrame, pages: DataFrame) -> DataFrame:
-    """volume, key, class: the keys of a volume that may stand for a boilerplate line, and their class.
-
-    A class is a key that by itself stands on at least half the required pages, with all keys of the volume that
-    differ from it in one misread place; a key goes to its most frequent such centre. There are at most
-    (lines per page) / (SHARE / 2) centres per volume. Other keys find them by an equi-join on their first or
-    last letters: one misread place leaves one end whole, so no pair is missed and no pairs are emitted within
-    a group.
-    """
-    by_page = lines.select("volume", "key", "chunk", "page").distinct()
-    counts = cut(by_page.groupBy("volume", "key").agg(F.count("*").alias("n")))
-    wide = counts.join(broadcast_if_small(pages), "volume")
-    centres = wide.where(F.col("n") * 2 >= _threshold()).select("volume", F.col("key").alias("centre"), "n")
-
-    def ends(key: Column, n: int) -> Column:
-        return F.array(F.concat(F.lit(f"a{n}"), F.substring(key, 1, n)), F.concat(F.lit(f"z{n}"), F.substring(key, -n, n)))
-
-    near = broadcast_if_small(centres.withColumn("end", F.explode(F.when(F.length("centre") >= LONG_LINE, ends(F.col("centre"), LONG_END)).otherwise(ends(F.col("centre"), SHORT_END)))))
-    keys = counts.select("volume", "key", F.explode(F.concat(ends(F.col("key"), LONG_END), ends(F.col("key"), SHORT_END))).alias("end"))
-    close = keys.join(near, ["volume", "end"]).where((F.abs(F.length("key") - F.length("centre")) <= 2) & (F.levenshtein("key", "centre", 3) >= 0))
-    same = F.pandas_udf(lambda a, b: pd.Series([one_place(x, y) for x, y in zip(a, b)], dtype=bool), "boolean")
-    return close.where(same("key", "centre")).groupBy("volume", "key").agg(F.max(F.struct("n", "centre")).alias("best")).select("volume", "key", F.col("best.centre").alias("class"))
+def _need(pages: Column) -> Column:
+    """Pages on which a line must stand in a volume of so many."""
+    return F.greatest(F.lit(LEAST_PAGES), F.ceil(pages * SHARE - F.lit(1e-9)))
 
 
 def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of a sequence of numbers by prefix doubling, and the common prefix of each suffix with the one before."""
     n = len(ids)
     rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
-    step = 1
+    levels, step = [rank], 1
     while True:
         second = np.full(n, -1, np.int64)
         second[: max(0, n - step)] = rank[step:]
@@ -125,112 +104,203 @@ def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if n == 0 or new[-1] == n - 1 or step >= n:
             break
         step *= 2
+        levels.append(rank)
+    # Ranks of level k compare 2**k numbers: the common prefix is made up of such steps, the longest first.
     common = np.zeros(n, np.int64)
-    at = np.empty(n, np.int64)
-    at[order] = np.arange(n)
-    h = 0
-    for i in range(n):  # Kasai: the common prefix shrinks by at most one from a suffix to the next
-        if at[i]:
-            j = order[at[i] - 1]
-            while i + h < n and j + h < n and ids[i + h] == ids[j + h]:
-                h += 1
-            common[at[i]] = h
-            h = max(0, h - 1)
-        else:
-            h = 0
+    if n > 1:
+        a, b, got = order[1:].copy(), order[:-1].copy(), np.zeros(n - 1, np.int64)
+        for k in range(len(levels) - 1, -1, -1):
+            inside = (a < n) & (b < n)
+            same = inside & (levels[k][np.minimum(a, n - 1)] == levels[k][np.minimum(b, n - 1)])
+            for x in (a, b, got):
+                x[same] += 1 << k
+        common[1:] = got
     return order, common
 
 
-def _blocks_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Blocks of one part of a volume with the number of pages that hold them.
+def maximal_blocks(ids: np.ndarray, page: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+    """(start, length, pages) of every repeated block that can't be made longer, on at least ``least`` pages.
 
-    The identifiers of the part's candidate lines are concatenated in reading order; wherever two are not
-    neighbours (another region, page, or a line between them) a number that occurs once stands between them. All
-    occurrences of a block are neighbours in the suffix array, joined by common prefixes of its length or more.
+    ``page`` has the page of each place, -1 where a separator stands. Suffixes with one block are neighbours in the
+    suffix array: the blocks are the intervals of its common prefixes, each with the longest prefix of its interval.
+    A block that is always preceded by the same line is part of a longer one and left out. Numbers that occur once
+    are blocks of length 1.
     """
-    rows = sorted(set(zip(*(pdf[c].tolist() for c in ("chunk", "page", "pos", "region_id", "line_no", "class")))))
-    names: dict[str, int] = {}
-    seq: list[int] = []
-    where: list[tuple | None] = []
-    run = longest = 0
-    before = None
-    for i, (chunk, page, _, region, line, name) in enumerate(rows):
-        if before == (region, line - 1):
-            run += 1
+    order, common = suffix_array(ids)
+    order, heights = order.tolist(), [*common.tolist(), 0]
+    ids, page = ids.tolist(), page.tolist()
+    out: list[tuple[int, int, int]] = []
+    # Open intervals: [height, pages, lines before, a start]; an interval closes where a lower prefix follows.
+    stack: list[list] = []
+    for k, start in enumerate(order):
+        if page[start] < 0:
+            leaf = None
         else:
-            run = 1
-            if i:
-                seq.append(-i)
-                where.append(None)
-        longest = max(longest, run)
-        before = (region, line)
-        seq.append(names.setdefault(name, len(names)))
-        where.append((chunk, page))
-    order, common = (x.tolist() for x in suffix_array(np.asarray(seq, np.int64)))
-    said = list(names)
-    out = []
-    for depth in range(1, min(longest, LONGEST_BLOCK) + 1):
-        # Suffixes that begin with a block of this length; those with the same one stand together.
-        block: list[int] = []
-        pages: set = set()
-        for k, start in enumerate(order):
-            if common[k] < depth:
-                if block:
-                    out.append(([said[b] for b in block], len(pages)))
-                block = seq[start : start + depth]
-                pages = set()
-                if len(block) < depth or min(block) < 0:
-                    block = []
-            if block:
-                pages.add(where[start])
-        if block:
-            out.append(([said[b] for b in block], len(pages)))
-    return pd.DataFrame({"volume": pdf["volume"].iloc[0], "block": [b for b, _ in out], "pages_with": [n for _, n in out]})
-
-
-def candidate_lines(regions: DataFrame) -> DataFrame:
-    """The lines whose class may reach its volume's threshold: position in the volume and class. Written once."""
-    lines = keyed_lines(regions)
-    classes = cut(line_classes(lines, cut(page_counts(regions))))
-    wanted = lines.join(broadcast_if_small(classes), ["volume", "key"])
-    return cut(wanted.select("volume", "chunk", "page", "pos", "region_id", "line_no", "class"))
-
-
-def repeated_blocks(wanted: DataFrame, pages: DataFrame) -> DataFrame:
-    """volume, block (array of line classes), pages_with: blocks that stand on enough of their volume's pages.
-
-    Suffix arrays are built per volume and PART chunks, so a hot volume is many groups and memory is bounded by
-    the candidate lines of so many pages. Pages belong to one part, so the parts' page counts add up; blocks are
-    summed by partial aggregation. A block that is rare in each part but frequent in the volume is not missed,
-    because parts report every block of candidate lines, also those that occur once there.
+            leaf = [0, {page[start]}, {ids[start - 1] if start else None}, start]
+            if heights[k] == 0 and heights[k + 1] == 0 and least <= 1:
+                out.append((start, 1, 1))
+        low = heights[k + 1]
+        if leaf is None:
+            continue
+        carried = leaf
+        while stack and stack[-1][0] > low:
+            top = stack.pop()
+            top[1] |= carried[1]
+            top[2] |= carried[2]
+            if len(top[1]) >= least and len(top[2]) > 1:
+                out.append((top[3], top[0], len(top[1])))
+            carried = top
+        if low > 0:
+            if stack and stack[-1][0] == low:
+                stack[-1][1] |= carried[1]
+                stack[-1][2] |= carried[2]
+            else:
+                stack.append([low, carried[1], carried[2], carried[3]])
+    return out
+
+
+def _sequence(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The line identifiers of a part in reading order, the page of each, and the hashes that they number.
+
+    Wherever two lines are not neighbours (another region, page, or a line between them that does not count) a
+    number that occurs once stands between them. Repeated deliveries count once.
     """
-    parts = wanted.groupBy("volume", F.floor(F.col("chunk") / PART).alias("part")).applyInPandas(_blocks_of_part, "volume string, block array<string>, pages_with bigint")
-    total = parts.groupBy("volume", "block").agg(F.sum("pages_with").alias("pages_with"))
-    return total.join(broadcast_if_small(pages), "volume").where(F.col("pages_with") >= _threshold()).select("volume", "block", "pages_with")
+    at = [pdf[c].to_numpy() for c in ("line_no", "region_id", "pos", "page", "chunk")]
+    order = np.lexsort(at)
+    line, region, _, page, chunk = (x[order] for x in at)
+    new = np.ones(len(order), bool)
+    new[1:] = (line[1:] != line[:-1]) | (region[1:] != region[:-1])
+    line, region, page, chunk, name = line[new], region[new], page[new], chunk[new], pdf["h"].to_numpy()[order][new]
+    apart = np.zeros(len(line), np.int64)
+    apart[1:] = (region[1:] != region[:-1]) | (line[1:] != line[:-1] + 1)
+    where = np.arange(len(line)) + np.cumsum(apart)
+    fresh = np.ones(len(line), np.int64)
+    fresh[1:] = (page[1:] != page[:-1]) | (chunk[1:] != chunk[:-1])
+    size = int(where[-1]) + 1 if len(where) else 0
+    # Numbers from 0 for the lines, those beyond for the separators.
+    names, numbers = np.unique(name, return_inverse=True)
+    ids = np.arange(len(names), len(names) + size, dtype=np.int64)
+    ids[where] = numbers
+    pages = np.full(size, -1, np.int64)
+    pages[where] = np.cumsum(fresh) - 1
+    return ids, pages, names
+
+
+def repeated_blocks(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """volume, block (array of line hashes), pages_with: blocks that are frequent in some part of a volume.
+
+    Suffix arrays are built over all lines of a volume's PART chunks, so a hot volume is many groups and memory is
+    bounded by the lines of so many pages. A line that by itself stands on half the required pages of its volume
+    has, in one part at least, that share of the part's pages; so every such line comes out of some part, and none
+    is lost by leaving out what is rare in a part. Only numbers are shuffled.
+    """
+    share = pages.select("volume", (_need(F.col("pages")) / 2 / F.col("pages")).alias("share"))
+    rows = lines.join(broadcast_if_small(share), "volume").select("volume", "chunk", "page", "pos", "region_id", "line_no", "h", "share")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, page, names = _sequence(pdf)
+        least = float(pdf["share"].iloc[0]) * (int(page.max()) + 1)
+        found = maximal_blocks(ids, page, max(1.0, least - 1e-9))
+        return pd.DataFrame({"volume": pdf["volume"].iloc[0], "block": [names[ids[a : a + n]].tolist() for a, n, _ in found], "pages_with": [c for _, _, c in found]})
 
+    return rows.groupBy("volume", F.floor(F.col("chunk") / PART).alias("part")).applyInPandas(run, "volume string, block array<bigint>, pages_with bigint")
 
-def boilerplate_lines(regions: DataFrame) -> DataFrame:
-    """volume, chunk, region_id, line_no of every line that is part of a block on enough pages of its volume."""
-    wanted = candidate_lines(regions)
-    kept = cut(repeated_blocks(wanted, page_counts(regions)).select("volume", F.explode("block").alias("class")).distinct())
-    return wanted.join(broadcast_if_small(kept), ["volume", "class"]).select("volume", "chunk", "region_id", "line_no")
+
+def line_classes(lines: DataFrame, blocks: DataFrame, pages: DataFrame) -> DataFrame:
+    """volume, h, class: the keys of a volume that may stand for a boilerplate line, and their class (a hash).
+
+    A class is a key that by itself stands on at least half the required pages, with all keys of the volume that
+    differ from it in one misread place; a key goes to its most frequent such centre. There are at most
+    (lines per page) / (SHARE / 2) centres per volume; they are among the lines of the blocks. Other keys find them
+    by an equi-join on their first or last letters: one misread place leaves one end whole, so no pair is missed
+    and no pairs are emitted within a group.
+    """
+    some = blocks.select("volume", F.explode("block").alias("h")).distinct()
+    on = lines.join(broadcast_if_small(some), ["volume", "h"])
+    counts = on.groupBy("volume", "h").agg(F.count_distinct("chunk", "page").alias("n"), F.min("key").alias("centre"))
+    centres = cut(counts.join(broadcast_if_small(pages), "volume").where(F.col("n") * 2 >= _need(F.col("pages"))).select("volume", "centre", F.col("h").alias("class"), "n"))
+
+    def ends(key: Column, n: int) -> Column:
+        return F.array(F.concat(F.lit(f"a{n}"), F.substring(key, 1, n)), F.concat(F.lit(f"z{n}"), F.substring(key, -n, n)))
+
+    near = centres.withColumn("end", F.explode(F.when(F.length("centre") >= LONG_LINE, ends(F.col("centre"), LONG_END)).otherwise(ends(F.col("centre"), SHORT_END))))
+    # A key meets centres that are up to two letters longer or shorter.
+    size, k = F.length("key"), F.col("key")
+    own = F.when(size >= LONG_LINE + 2, ends(k, LONG_END)).when(size < LONG_LINE - 2, ends(k, SHORT_END)).otherwise(F.concat(ends(k, LONG_END), ends(k, SHORT_END)))
+    keys = lines.select("volume", "h", "key", F.explode(own).alias("end"))
+    close = keys.join(broadcast_if_small(near), ["volume", "end"]).where((F.abs(F.length("key") - F.length("centre")) <= 2) & (F.levenshtein("key", "centre", 3) >= 0))
+    once = close.select("volume", "h", "key", "class", "centre", "n").distinct()
+    same = F.pandas_udf(lambda a, b: pd.Series([one_place(x, y) for x, y in zip(a, b)], dtype=bool), "boolean")
+    return once.where(same("key", "centre")).groupBy("volume", "h").agg(F.max(F.struct("n", "centre", "class")).alias("best")).select("volume", "h", F.col("best.class").alias("class"))
+
+
+class Repeated(NamedTuple):
+    """What is known of the lines repeated in each volume."""
+
+    #: volume, chunk, page, pos, region_id, line_no, key, h of every line that may count
+    lines: DataFrame
+    #: volume, chunk, region_id, line_no, class of the boilerplate lines
+    gone: DataFrame
+    #: volume, block, pages_with: blocks of several lines, all of them boilerplate, as arrays of classes
+    blocks: DataFrame
+
+
+def boilerplate(regions: DataFrame) -> Repeated:
+    """Lines whose class stands on enough pages of their volume, and the blocks they form.
+
+    The parts' suffix arrays give the blocks of lines that may be frequent; of their lines, with all spellings one
+    misread place away, the pages are then counted over the whole volume.
+    """
+    lines = cut(keyed_lines(regions))
+    pages = cut(page_counts(regions))
+    blocks = cut(repeated_blocks(lines, pages))
+    classes = cut(line_classes(lines, blocks, pages))
+    wanted = cut(lines.join(broadcast_if_small(classes), ["volume", "h"]).select("volume", "chunk", "page", "region_id", "line_no", "class"))
+    total = wanted.groupBy("volume", "class").agg(F.count_distinct("chunk", "page").alias("n")).join(broadcast_if_small(pages), "volume")
+    kept = cut(total.where(F.col("n") >= _need(F.col("pages"))).select("volume", "class"))
+    gone = wanted.join(broadcast_if_small(kept), ["volume", "class"]).select("volume", "chunk", "region_id", "line_no", "class")
+    # Blocks of several lines in classes. A part in which a block is rare does not report it: the sum is a lower bound.
+    several = blocks.where(F.size("block") > 1).groupBy("volume", "block").agg(F.sum("pages_with").alias("n"))
+    named = several.select("*", F.posexplode("block").alias("i", "h")).join(broadcast_if_small(classes), ["volume", "h"]).join(broadcast_if_small(kept), ["volume", "class"], "left_semi")
+    whole = named.groupBy("volume", "block", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "class"))), lambda x: x["class"]).alias("classes")).where(F.size("classes") == F.size("block"))
+    summed = whole.groupBy("volume", F.col("classes").alias("block")).agg(F.sum("n").alias("pages_with")).join(broadcast_if_small(pages), "volume")
+    return Repeated(lines, gone, summed.where(F.col("pages_with") * 2 >= _need(F.col("pages"))).select("volume", "block", "pages_with"))
 
 
 def found(regions: DataFrame) -> DataFrame:
     """region_id, line_no of every boilerplate line, once."""
-    return boilerplate_lines(regions).select("region_id", "line_no").distinct()
+    return boilerplate(regions).gone.select("region_id", "line_no").distinct()
+
+
+def garbled_lines(told: Repeated) -> DataFrame:
+    """region_id, line_no of lines too badly read to match, where a block says what they are.
+
+    A line right before or behind a boilerplate line, at a place where a block goes on, belongs to the block if it
+    is up to GARBLED of its length from the line that the block has there.
+    """
+    steps = F.flatten(F.transform(F.sequence(F.lit(2), F.size("block")), lambda i: F.array(F.struct(F.get("block", i - 2).alias("class"), F.get("block", i - 1).alias("next"), F.lit(1).alias("step")), F.struct(F.get("block", i - 1).alias("class"), F.get("block", i - 2).alias("next"), F.lit(-1).alias("step")))))
+    follows = told.blocks.select("volume", F.explode(steps).alias("s")).select("volume", "s.*").distinct()
+    plain = told.lines.select("volume", F.col("h").alias("next"), "key").join(follows.select("volume", "next").distinct(), ["volume", "next"], "left_semi").groupBy("volume", "next").agg(F.min("key").alias("said"))
+    wanted = cut(follows.join(plain, ["volume", "next"]))
+    expected = told.gone.join(broadcast_if_small(wanted), ["volume", "class"]).select("region_id", (F.col("line_no") + F.col("step")).alias("line_no"), "said").distinct()
+    rest = told.lines.join(told.gone.select("region_id", "line_no"), ["region_id", "line_no"], "left_anti").select("region_id", "line_no", "key")
+    most = F.greatest(F.length("said"), F.length("key")) * GARBLED
+    return rest.join(expected, ["region_id", "line_no"]).where(F.levenshtein("key", "said") <= most).select("region_id", "line_no").distinct()
 
 
 def without_boilerplate(regions: DataFrame, deliveries: DataFrame | None = None) -> DataFrame:
-    """The regions with ``lines`` and ``text`` freed of boilerplate lines, and the number taken out of each.
+    """The regions with ``lines`` and ``text`` freed of boilerplate, and the number of lines taken out of each.
 
-    Boilerplate is told from ``deliveries``, the table before repeated rows were taken out, if it is given.
+    Blocks go as a whole: also a line of a block that is too badly read to match alone. Boilerplate is told from
+    ``deliveries``, the table before repeated rows were taken out, if it is given.
 
     Headings stay. A region that is nothing but boilerplate keeps an empty list and text; null lines and texts
     stay null. Repeated deliveries of a region are treated alike. All other columns pass through.
     """
-    gone = found(regions if deliveries is None else deliveries).groupBy("region_id").agg(F.collect_set("line_no").alias("_gone"))
-    joined = regions.join(gone, "region_id", "left")
+    told = boilerplate(regions if deliveries is None else deliveries)
+    lines = told.gone.select("region_id", "line_no").unionByName(garbled_lines(told))
+    gone = cut(lines.groupBy("region_id").agg(F.collect_set("line_no").alias("_gone")))
+    joined = regions.join(broadcast_if_small(gone), "region_id", "left")
     kept = F.filter("lines", lambda x, i: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), i + 1))
     out = joined.withColumn("lines", F.when(F.col("_gone").isNull(), F.col("lines")).otherwise(kept))
     out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("lines", "\n")))

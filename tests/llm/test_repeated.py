@@ -54,8 +54,62 @@ def test_found_and_removal(spark):
     assert r.found(df.limit(0)).count() == 0
 
 
+def all_blocks(ids, page):
+    """Pages of every block of neighbouring lines, by trying all."""
+    pages = {}
+    for a in range(len(ids)):
+        for b in range(a + 1, len(ids) + 1):
+            if page[b - 1] < 0:
+                break
+            pages.setdefault(tuple(ids[a:b]), set()).add(page[a])
+    return {k: len(v) for k, v in pages.items()}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), min_size=1, max_size=5), max_size=8), st.integers(1, 4))
+def test_maximal_blocks_against_brute_force(runs, least):
+    ids, page = [], []
+    for k, run in enumerate(runs):
+        if k:
+            ids.append(100 + k)
+            page.append(-1)
+        ids += run
+        page += [k // 2] * len(run)
+    want = all_blocks(ids, page)
+    got = {tuple(ids[a : a + n]): c for a, n, c in r.maximal_blocks(np.asarray(ids, np.int64), np.asarray(page, np.int64), least)}
+    assert all(want[k] == c >= least for k, c in got.items())
+    # Every repeated block, and every line, on enough pages is part of a block on as many.
+    for block, n in want.items():
+        if n >= max(least, 2 if len(block) > 1 else 1):
+            assert any(c == n and any(k[i : i + len(block)] == block for i in range(len(k))) for k, c in got.items())
+
+
 def test_blocks_across_parts(spark):
-    df = spark.createDataFrame(volume("A", 500, 5), SCHEMA)
-    wanted = r.candidate_lines(df)
-    blocks = {tuple(x.block): x.pages_with for x in r.repeated_blocks(wanted, r.page_counts(df)).collect()}
-    assert blocks[("gedrucktmitunterstützung", "derfreunde")] == 100
+    told = r.boilerplate(spark.createDataFrame(volume("A", 500, 5), SCHEMA))
+    names = {x.h: x.key for x in told.lines.collect()}
+    assert {(tuple(names[h] for h in x.block), x.pages_with) for x in told.blocks.collect()} == {(("gedrucktmitunterstützung", "derfreunde"), 100)}  # in three spellings
+
+
+def test_a_block_goes_as_a_whole(spark):
+    """A line of a block that no single misread place explains goes with its block, but not one that only stands there."""
+    plain = ["Gedruckt mit Unterstützung", "der Freunde der Musik", "in der Stadt am Fluss"]
+    rows = []
+    for p in range(40):
+        lines = [f"Zeile {chr(97 + p % 26)}{chr(97 + p // 26)} steht allein", *(plain if p % 4 == 0 else [])]
+        rows.append((p + 1, "A", p // 25 + 1, p % 25 + 1, "Text", 0, lines, "\n".join(lines), None))
+    garbled = [*rows[1][6], plain[0], "dcr Frcunde dcr Nusik", plain[2]]
+    other = [*rows[2][6], plain[0], "eine Zeile für sich allein"]
+    behind = [*rows[3][6], plain[1], "ln dcr Stadl am FIuss"]
+    for k, lines in ((1, garbled), (2, other), (3, behind)):
+        rows[k] = (*rows[k][:6], lines, "\n".join(lines), None)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {tuple(x) for x in r.found(df).collect()} >= {(2, 2), (2, 4), (3, 2), (4, 2)} and (2, 3) not in {tuple(x) for x in r.found(df).collect()}
+    out = {x.region_id: x for x in r.without_boilerplate(df).collect()}
+    assert out[2].lines == garbled[:1] and out[2].lines_removed == 3
+    assert out[3].lines == [other[0], other[2]] and out[4].lines == behind[:1] and len(out[5].lines) == 1
+
+
+def test_repeated_deliveries_count_once(spark):
+    rows = volume("A", 60, 15)
+    df = spark.createDataFrame(rows + rows + rows, SCHEMA)
+    assert r.found(df).count() == 0
