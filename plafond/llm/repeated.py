@@ -201,7 +201,8 @@ def repeated_blocks(lines: DataFrame, pages: DataFrame) -> DataFrame:
         ids, page, names = _sequence(pdf)
         least = float(pdf["share"].iloc[0]) * (int(page.max()) + 1)
         found = maximal_blocks(ids, page, max(1.0, least - 1e-9))
-        return pd.DataFrame({"volume": pdf["volume"].iloc[0], "block": [names[ids[a : a + n]].tolist() for a, n, _ in found], "pages_with": [c for _, _, c in found]})
+        blocks = pd.Series([names[ids[a : a + n]].tolist() for a, n, _ in found], dtype=object)
+        return pd.DataFrame({"volume": pdf["volume"].iloc[0], "block": blocks, "pages_with": pd.Series([c for _, _, c in found], dtype="int64")})
 
     return rows.groupBy("volume", F.floor(F.col("chunk") / PART).alias("part")).applyInPandas(run, "volume string, block array<bigint>, pages_with bigint")
 
