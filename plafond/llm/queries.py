@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from plafond.llm import bpe, canonical, langid, packing, repeated, scanned, split
-from plafond.session import table
-
-
-def _latest(rows: DataFrame, key: str) -> DataFrame:
-    """The row of latest delivery per key."""
-    w = Window.partitionBy(key).orderBy(F.desc("delivered_at"))
-    return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+from plafond.session import once, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +13,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = _latest(table(spark, sf_dir, "articles").select("article_id", "body", "delivered_at"), "article_id")
+    articles = once(table(spark, sf_dir, "articles"), "article_id", "delivered_at", "article_id", "body")
     return split.split_oversized(articles, "article_id", "body").drop("cut_blocks")
 
 
@@ -31,8 +24,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = canonical.vocabulary(table(spark, sf_dir, "wortliste"))
-    regions = table(spark, sf_dir, "layout_regions").select("region_id", "lines").dropDuplicates(["region_id"])
-    articles = _latest(table(spark, sf_dir, "articles").select("article_id", "body", "delivered_at"), "article_id")
+    regions = once(table(spark, sf_dir, "layout_regions"), "region_id", "ingested_at", "region_id", "lines")
+    articles = once(table(spark, sf_dir, "articles"), "article_id", "delivered_at", "article_id", "body")
     return canonical.canonical_lines(canonical.region_lines(regions).unionByName(canonical.body_lines(articles)), words)
 
 
@@ -42,8 +35,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "layout_regions")
-    once = raw.select("region_id", "band_prefix", "chunk", "page", "label", "reading_pos", "text", "lines").dropDuplicates(["region_id"])
-    return repeated.without_boilerplate(once, raw)
+    regions = once(raw, "region_id", "ingested_at", "region_id", "band_prefix", "chunk", "page", "label", "reading_pos", "text", "lines")
+    return repeated.without_boilerplate(regions, raw)
 
 
 def _scan_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

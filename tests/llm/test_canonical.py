@@ -32,7 +32,7 @@ def test_no_cases(line):
 
 @settings(max_examples=500, deadline=None)
 @given(st.text(alphabet="aeoKup lfiΚοеНѕ̈​\xad\xa0ﬁＡａ１„“–", max_size=30))
-def test_idempotent_and_the_trie_agrees_with_the_table(line):
+def test_idempotent_and_the_trie_agrees_with_the_table_on_its_look_alikes(line):
     once = c.canonical(line)
     assert c.canonical(once) == once
     assert c.canonical(line, TRIE) == once
@@ -45,11 +45,50 @@ def test_automaton_budget():
     assert c.Trie(["Kuppel"]).match(list("Kuppxel"), 1) == "Kuppel"
 
 
+SPELLED = c.Trie(["Evangelist", "Maria", "Kapelle", "Marta", "Marka", "größer", "Eva", "Euangelium", "Taufe"])
+
+
+@pytest.mark.parametrize(
+    "line, form, without",
+    [
+        ("Eυangelist", "Evangelist", "Euangelist"),  # another letter that it looks like
+        ("Euangeliυm", "Euangeliυm".replace("υ", "u"), "Euangelium"),  # the table's letter, known to the vocabulary
+        ("KapeΙle", "Kapelle", "KapeIle"),
+        ("Maгia", "Maria", "Maгia"),  # a letter that the table lacks
+        ("MAГIA", "MARIA", "MAГIA"),
+        ("Marгa", "Marгa", "Marгa"),  # Marta or Marka: the vocabulary decides nothing
+        ("grцßer", "größer", "grцßer"),
+        ("Tauгe und Mагia", "Taufe und Maria", "Tauгe und Mагia"),
+        ("Evе", "Eve", "Eve"),  # plain letters are never changed to meet a word
+    ],
+)
+def test_the_vocabulary_decides_between_spellings(line, form, without):
+    assert c.canonical(line, SPELLED) == form and c.canonical(line) == without
+    assert c.canonical(form, SPELLED) == form
+
+
+@pytest.mark.parametrize("line", ["ἀρχή Μαρία", "Мария и Ева", "גלוריה", "ΕΥΑ", "маг"])
+def test_words_wholly_in_another_script_stay(line):
+    assert c.canonical(line, SPELLED) == line
+
+
+def test_a_large_vocabulary_gives_the_same_spellings(spark):
+    words = spark.createDataFrame([(w,) for w in ["Evangelist", "Maria", "Kapelle", "Marta", "Marka", "größer", "Straße", None, ""]], "word string")
+    said = ["Eυangelist", "Maгia!", "MAГIA", "KapeΙle", "Marгa", "grцßer", "Ѕtraße, цtraßц", "STRAßЕ", "plain", "Κuppel ﬁ", None, "", "Eυangelist", "ἀρχή"]
+    lines = spark.createDataFrame([(x, k) for k, x in enumerate(said)], "line string, line_no int")
+    known = c.vocabulary(words)
+    small, large = ({tuple(r) for r in c.canonical_lines(lines, known, rows=n).collect()} for n in (100, 0))
+    assert small == large and ("Evangelist", 0, True) in small and ("Maria!", 1, True) in small and ("Marгa", 4, False) in small
+    salted = {r.raw: r.said for r in c.spellings(lines.where("line is not null").select("line").distinct(), known, 3).collect()}
+    assert salted["Eυangelist"] == "Evangelist" and "Marгa" not in salted
+
+
 def test_frames(spark):
     regions = spark.createDataFrame([(1, ["gut", "Κuppel", None, ""]), (1, ["gut", "Κuppel", None, ""]), (2, None), (3, []), (4, ["​"])], "region_id bigint, lines array<string>")
+    words = spark.createDataFrame([("Kuppel",)], "word string")
     articles = spark.createDataFrame([(1, "a\nЅtein b\n"), (2, None), (3, "")], "article_id bigint, body string")
-    got = {tuple(r) for r in c.found(regions, articles, ["Kuppel"]).collect()}
+    got = {tuple(r) for r in c.found(regions, articles, c.vocabulary(words)).collect()}
     assert got == {("region", 1, 2), ("region", 4, 1), ("article", 1, 2)}
     lines = spark.createDataFrame([("x\xa0y", 1), (None, 2), ("", 3)], "line string, line_no int")
-    assert [tuple(r) for r in c.canonical_lines(lines, []).orderBy("line_no").collect()] == [("x y", 1, True), (None, 2, False), ("", 3, False)]
-    assert c.found(regions.limit(0), articles.limit(0), []).count() == 0
+    assert [tuple(r) for r in c.canonical_lines(lines, words.limit(0)).orderBy("line_no").collect()] == [("x y", 1, True), (None, 2, False), ("", 3, False)]
+    assert c.found(regions.limit(0), articles.limit(0), words).count() == 0
