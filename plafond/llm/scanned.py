@@ -6,10 +6,14 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plafond.llm import repeated
@@ -17,10 +21,11 @@ from plafond.llm.canonical import canonical
 from plafond.llm.repeated import line_key, one_place
 from plafond.session import broadcast_if_small, cut
 
-#: Words and word pairs that are sent to the workers as known, the most frequent of the trusted texts. Every other word
-#: goes the long way, by joins. With more trusted words than these, a rarer word broken into two usual ones is lost,
-#: and pairs are not counted against it.
+#: Words and word pairs that are sent to the workers as known, the most frequent of the trusted texts. All others go
+#: through joins, with the same results; a Bloom filter over all trusted words tells which neighbours may be one word.
 USUAL_WORDS, USUAL_PAIRS = 30_000, 20_000
+#: Bits of the Bloom filter per word, and its most bits. Beyond them more neighbours than needed go through the joins.
+BLOOM_BITS, BLOOM_MOST = 12, 1 << 30
 #: A word outside the trusted texts is a misreading of a similar word that is so many times as frequent: if the two
 #: differ as recognition confuses letters, if a letter is lost, and in any other way.
 CONFUSED_TIMES, LOST_TIMES, OTHER_TIMES = 3, 6, 25
@@ -31,12 +36,12 @@ MISREAD_SHARE, OTHER_SHARE = 0.004, 0.0005
 PAIR_TIMES = 20
 #: Words outside the trusted texts from this number of occurrences on may be what a misreading stands for.
 SEEN_OFTEN = 8
-#: Parts into which the vocabulary is dealt out.
-SHARDS = 96
+#: Words of the vocabulary for which a shard is made.
+SHARD_WORDS = 4_000
+#: Words from this length on may be misread in two places, if both are letters that recognition confuses.
+LONG_WORD = 9
 #: Pairs of neighbours up to which only those asked for are counted in the scan; more are told by a join.
 PAIRS_ASKED = 100_000
-#: Judged words up to which they are broadcast; more are joined by a shuffle.
-JUDGED_ROWS = 200_000
 #: Shorter words are not judged: too many others are one place away.
 LEAST_WORD = 3
 
@@ -62,10 +67,10 @@ def fold(word: str) -> str:
 
 
 class Automaton:
-    """Vocabulary trie to be intersected with Levenshtein automata of one misread place.
+    """Vocabulary trie to be intersected with Levenshtein automata.
 
     A place is one substituted, lost or added character, or one character read as two or two as one where
-    recognition confuses them. The automaton of a word has states (letters read, place used); a walk down the
+    recognition confuses them. The automaton of a word has states (letters read, places used); a walk down the
     trie keeps the set of states alive and stops where it is empty, so every candidate is found without
     comparing the word with each entry.
     """
@@ -78,14 +83,15 @@ class Automaton:
                 node = node.setdefault(ch, {})
             node[""] = w
 
-    def near(self, word: str) -> list[str]:
-        """All entries that differ from the word in exactly one place."""
+    def near(self, word: str, places: int = 1, confused: bool = False) -> list[str]:
+        """All other entries that differ from the word in up to ``places`` places; if ``confused``, only in letters
+        that recognition takes for each other."""
         n, out = len(word), []
         #: States: (i, used, pending): i letters of the word explained; pending is a letter that the trie owes.
         stack: list[tuple[dict, frozenset]] = [(self.root, frozenset({(0, 0, "")}))]
         while stack:
             node, states = stack.pop()
-            if "" in node and node[""] != word and any((i == n and not p) or (i == n - 1 and not used and not p) for i, used, p in states):
+            if "" in node and node[""] != word and any(not p and (i == n or (not confused and n - i <= places - used)) for i, used, p in states):
                 out.append(node[""])
             for ch, child in node.items():
                 if not ch:
@@ -94,22 +100,25 @@ class Automaton:
                 for i, used, pending in states:
                     if pending:
                         if pending == ch:
-                            step.add((i, 1, ""))
+                            step.add((i, used, ""))
                         continue
                     if i < n and word[i] == ch:
                         step.add((i + 1, used, ""))
-                    if not used:
-                        step.add((i, 1, ""))  # lost from the word
-                        if i < n:
-                            step.add((i + 1, 1, ""))  # substituted
-                            if i + 1 < n:
-                                if word[i + 1] == ch:
-                                    step.add((i + 2, 1, ""))  # an added character before
-                                if (word[i : i + 2], ch) in _CONFUSED:
-                                    step.add((i + 2, 1, ""))
-                            for short, long in _SPLITS.get(word[i], ()):
-                                if long[0] == ch:
-                                    step.add((i + len(short), 1, long[1]))
+                    if used == places:
+                        continue
+                    more = used + 1
+                    if not confused:
+                        step.add((i, more, ""))  # lost from the word
+                        # Added characters before a right one, as many as there are places left.
+                        step.update((i + k + 1, used + k, "") for k in range(1, places - used + 1) if i + k < n and word[i + k] == ch)
+                    if i < n:
+                        if not confused or (word[i], ch) in _CONFUSED:
+                            step.add((i + 1, more, ""))  # substituted
+                        if i + 1 < n and (word[i : i + 2], ch) in _CONFUSED:
+                            step.add((i + 2, more, ""))
+                        for short, long in _SPLITS.get(word[i], ()):
+                            if long[0] == ch:
+                                step.add((i + len(short), more, long[1]))
                 if step:
                     stack.append((child, frozenset(step)))
         return out
@@ -132,8 +141,10 @@ def difference(word: str, entry: str) -> tuple[int, str, str]:
     return i, word[i : len(word) - j], entry[i : len(entry) - j]
 
 
-def times_needed(word: str, entry: str) -> tuple[float, float]:
+def times_needed(word: str, entry: str, places: int = 1) -> tuple[float, float]:
     """How many times as frequent an entry must be for the word to be a misreading of it, and the share it may have."""
+    if places > 1:
+        return OTHER_TIMES, OTHER_SHARE
     _, a, b = difference(word, entry)
     if (a, b) in _CONFUSED or (a and not any(ch.isalpha() for ch in a)):
         return CONFUSED_TIMES, MISREAD_SHARE
@@ -158,14 +169,66 @@ def trusted_texts(articles: DataFrame, lists: DataFrame, glossary: DataFrame, sa
     return out.where("t is not null")
 
 
-def _counted(texts: DataFrame, usual: set[str] | None) -> DataFrame:
-    """word, n: words of the texts, or pairs of neighbouring words that together are a usual word.
+class Known:
+    """What the workers know of the trusted words: the usual ones, and a Bloom filter over the others if there are any."""
+
+    def __init__(self, usual: Iterable[str], bits: bytes | None = None) -> None:
+        self.usual = set(usual)
+        self.bits, self.size = bits, 8 * len(bits or b"")
+
+    def maybe(self, word: str) -> bool:
+        """True for every trusted word; false for nearly all others."""
+        if word in self.usual:
+            return True
+        if self.bits is None:
+            return False
+        h = xxhash.xxh64_intdigest(word.encode(), 42)
+        return all(self.bits[at >> 3] >> (at & 7) & 1 for at in (h % self.size, (h >> 32) % self.size, (h ^ h >> 17) % self.size))
+
+
+def bloom_of(words: DataFrame, n: int) -> bytes:
+    """A Bloom filter over the words, made where they lie: each partition sets its bits, block by block of the filter."""
+    size = 1 << max(10, min(BLOOM_MOST, BLOOM_BITS * n) - 1).bit_length()
+    block = min(size, 1 << 20)
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            at = set()
+            for w in pdf["word"].tolist():
+                h = xxhash.xxh64_intdigest(w.encode(), 42)
+                at |= {h % size, (h >> 32) % size, (h ^ h >> 17) % size}
+            yield pd.DataFrame({"block": [x // block for x in at], "at": [x % block for x in at]})
+
+    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(block, np.uint8)
+        bits[pdf["at"].to_numpy()] = 1
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    out = bytearray(size // 8)
+    rows = words.select("word").mapInPandas(places, "block bigint, at bigint").distinct().groupBy("block").applyInPandas(fill, "block bigint, bits binary")
+    for r in rows.collect():
+        out[r["block"] * block // 8 : (r["block"] + 1) * block // 8] = r["bits"]
+    return bytes(out)
+
+
+def known_words(single: DataFrame) -> Known:
+    """The USUAL_WORDS most frequent trusted words, and a filter over all if there are more."""
+    usual = [r[0] for r in single.orderBy(F.desc("n"), "word").limit(USUAL_WORDS).collect()]
+    if len(usual) < USUAL_WORDS:
+        return Known(usual)
+    n = single.count()
+    return Known(usual, bloom_of(single, n) if n > len(usual) else None)
+
+
+def _counted(texts: DataFrame, known: Broadcast | None) -> DataFrame:
+    """word, n: words of the texts, or pairs of neighbouring words that together may be a trusted word.
 
     Counted within each partition first; a full counter is emitted and begun anew, so memory is bounded.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
+        usual, maybe = (known.value.usual, known.value.maybe if known.value.bits else None) if known else (set(), None)
 
         def flush() -> pd.DataFrame:
             out = pd.DataFrame({"word": list(counts), "n": list(counts.values())})
@@ -176,9 +239,11 @@ def _counted(texts: DataFrame, usual: set[str] | None) -> DataFrame:
             for t in pdf["t"].tolist():
                 for part in _RUN.split(fold(t)):
                     words = part.replace("-", " ").split()
-                    if usual is None:
+                    if known is None:
                         counts.update(words)
-                    else:
+                    elif maybe:
+                        counts.update(f"{a} {b}" for a, b in zip(words, words[1:]) if maybe(a + b))
+                    elif len(words) > 1:
                         counts.update(f"{a} {b}" for a, b in zip(words, words[1:]) if a + b in usual)
             if len(counts) > 300_000:
                 yield flush()
@@ -194,9 +259,9 @@ def trusted_words(texts: DataFrame) -> DataFrame:
     return _counted(texts, None).where(F.col("word").rlike(r"\A[a-zäöü]+\z"))
 
 
-def trusted_pairs(texts: DataFrame, usual: list[str]) -> DataFrame:
-    """pair, n of neighbouring words that together are one of the usual words."""
-    return _counted(texts, set(usual)).withColumnRenamed("word", "pair")
+def trusted_pairs(texts: DataFrame, known: Broadcast) -> DataFrame:
+    """pair, n of neighbouring words that together are a trusted word (or, rarely, are taken for one)."""
+    return _counted(texts, known).withColumnRenamed("word", "pair")
 
 
 # --------------------------------------------------------------------------- lines in reading order
@@ -233,9 +298,6 @@ def is_title(line: str) -> bool:
     return "," in line or bool(_BAND_NOTE.search(line))
 
 
-_AROUND = "0123456789 \t-–—|[]()·."
-
-
 def name_ends(names: set[str]) -> tuple[set[str], set[str]]:
     return {k[:2] for k in names}, {k[-2:] for k in names}
 
@@ -244,11 +306,13 @@ def _is_running_title(line: str, names: set[str], ends: tuple[set[str], set[str]
     s = line.strip()
     if s.endswith((".", ";")) or not names:
         return False
-    # One misread place leaves one end of a name whole; most lines are told by that.
-    bare = s.strip(_AROUND)
-    if line_key(bare[:2]) not in ends[0] and line_key(bare[-2:]) not in ends[1]:
+    # One misread place leaves one end of a name whole; most lines are told by the ends of their keys.
+    a, z = s[:2], s[-2:]
+    if a.isalpha() and z.isalpha() and fold(a)[:2] not in ends[0] and fold(z)[-2:] not in ends[1]:
         return False
     key = line_key(s)
+    if key[:2] not in ends[0] and key[-2:] not in ends[1]:
+        return False
     return len(key) >= 4 and any(abs(len(key) - len(k)) <= 2 and one_place(key, k) for k in names)
 
 
@@ -324,9 +388,9 @@ def pages_of(regions: pa.Table, other: pa.Table) -> Iterator[Page]:
         yield p
 
 
-SITE_COLUMNS = ["role", "region_id", "line_no", "region2", "line2", "cut", "a", "b", "ab", "pair", "left", "right"]
-SITE_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 6]
-SITE_SCHEMA = "role string, region_id bigint, line_no int, region2 bigint, line2 int, cut int, a string, b string, ab string, pair string, left string, right string"
+SITE_COLUMNS = ["volume", "chunk", "role", "region_id", "line_no", "region2", "line2", "cut", "a", "b", "ab", "pair", "left", "right"]
+SITE_TYPES = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 6]
+SITE_SCHEMA = "volume string, chunk int, role string, region_id bigint, line_no int, region2 bigint, line2 int, cut int, a string, b string, ab string, pair string, left string, right string"
 
 
 def _clean(token: str) -> tuple[str, bool, bool]:
@@ -345,8 +409,8 @@ def _too_short(core: str) -> bool:
 class Reader:
     """Turns pages into cases that are certain and sites that need a look at the vocabulary."""
 
-    def __init__(self, usual: set[str], pairs: set[str]) -> None:
-        self.usual, self.pairs = usual, pairs
+    def __init__(self, known: Known, pairs: Iterable[str]) -> None:
+        self.known, self.pairs = known, set(pairs)
         self.memo: dict[str, tuple[str, bool, bool, bool]] = {}
 
     def token(self, token: str) -> tuple[str, bool, bool, bool]:
@@ -355,14 +419,16 @@ class Reader:
         if got is None:
             if len(self.memo) > 300_000:
                 self.memo.clear()
+            usual = self.known.usual
             core, before, behind = _clean(token)
-            fine = core in self.usual or _too_short(core)
+            fine = core in usual or _too_short(core)
             if not fine and "-" in core:
-                fine = all(w in self.usual or len(w) < LEAST_WORD for w in core.split("-"))
+                fine = all(w in usual or len(w) < LEAST_WORD for w in core.split("-"))
             got = self.memo[token] = (core, before, behind, fine)
         return got
 
     def read(self, page: Page) -> Iterator[tuple]:
+        maybe = self.known.maybe if self.known.bits else self.known.usual.__contains__
         for k, kinds in enumerate(page.kinds):
             for i, kind in enumerate(kinds):
                 if kind == "furniture":
@@ -395,7 +461,7 @@ class Reader:
                 a, _, _, fine_a = self.token(end)
                 b, _, _, fine_b = self.token(following[0])
                 ab = a + b
-                if not (fine_a and fine_b) or (ab in self.usual and f"{a} {b}" not in self.pairs):
+                if not (fine_a and fine_b) or (maybe(ab) and f"{a} {b}" not in self.pairs):
                     last -= 1
                     opens[at] = True
                     yield ("open", rid, no, page.rows[at[0]][0], at[1] + 1, len(a), a, b, ab, f"{a} {b}", None, None)
@@ -409,7 +475,7 @@ class Reader:
                 b, before, _, fine_b = info[j + 1]
                 if behind and before and a and b:
                     ab = a + b
-                    if (not (fine_a and fine_b) and ab.isalpha()) or (ab in self.usual and f"{a} {b}" not in self.pairs):
+                    if (not (fine_a and fine_b) and ab.isalpha()) or (maybe(ab) and f"{a} {b}" not in self.pairs):
                         yield ("pair", rid, no, None, None, None, a, b, ab, f"{a} {b}", None, None)
 
 
@@ -426,54 +492,66 @@ def chunk_inputs(regions: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFr
     return rows.where(F.size("lines") > 0), other
 
 
-def sites(regions: DataFrame, gone: DataFrame, usual: list[str], pairs: list[str]) -> DataFrame:
+def sites(regions: DataFrame, gone: DataFrame, known: Broadcast, pairs: Broadcast) -> DataFrame:
     """Cases and sites of all pages. One shuffle by (volume, chunk); a group is at most one chunk of pages."""
     rows, other = chunk_inputs(regions, gone)
-    known, pair = set(usual), set(pairs)
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [s for p in pages_of(left, right) for s in _reader(known, pair).read(p)] if left.num_rows else []
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(SITE_TYPES), SITE_TYPES)], names=SITE_COLUMNS)
+        if not left.num_rows:
+            return pa.table([pa.array([], t) for t in SITE_TYPES], names=SITE_COLUMNS)
+        out = [s for p in pages_of(left, right) for s in _reader(known, pairs).read(p)]
+        columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(SITE_TYPES[2:]), SITE_TYPES[2:])]
+        key = [pa.array([left[c][0].as_py()] * len(out), t) for c, t in zip(SITE_COLUMNS[:2], SITE_TYPES[:2])]
+        return pa.table(key + columns, names=SITE_COLUMNS)
 
     return rows.groupBy("volume", "chunk").cogroup(other.groupBy("volume", "chunk")).applyInArrow(read, SITE_SCHEMA)
 
 
-_READERS: dict[int, Reader] = {}
+_READERS: dict[tuple[int, int], Reader] = {}
 
 
-def _reader(known: set[str], pairs: set[str]) -> Reader:
+def _reader(known: Broadcast, pairs: Broadcast) -> Reader:
     """One reader per worker and vocabulary, so that its memory of tokens lives on from group to group."""
-    if id(known) not in _READERS:
+    key = (id(known.value), id(pairs.value))
+    if key not in _READERS:
         _READERS.clear()
-        _READERS[id(known)] = Reader(known, pairs)
-    return _READERS[id(known)]
+        _READERS[key] = Reader(known.value, pairs.value)
+    return _READERS[key]
 
 
 # --------------------------------------------------------------------------- judging words
 
 
-def _ends(word: str, asked: bool) -> list[str]:
-    """Shards of a word: its ends. One misread place leaves one end whole, so a word meets all similar entries."""
-    out = []
-    if len(word) <= (5 if asked else 6):
-        out += ["a" + word[:1], "z" + word[-1:]]
-    if len(word) >= (6 if asked else 5):
-        out += ["a" + word[:2], "z" + word[-2:]]
-    return out
+def _ends(word: str, asked: bool, places: int = 1) -> list[str]:
+    """Shards of a word: its length with one of its ends, or with its middle for two places.
+
+    A place takes up to two letters on either side and makes up to one letter of difference in length. One place
+    leaves one end of (length - 1) // 2 letters of the entry whole. Two leave whole an end of a third, or what lies
+    between them, a letter apart. A word asks for entries of every length that it may stand for.
+    """
+    out: set[str] = set()
+    for size in range(max(LEAST_WORD, len(word) - places), len(word) + places + 1) if asked else [len(word)]:
+        k = (size - 1) // 2 if places == 1 else size // 3
+        out |= {f"a{size} {word[:k]}", f"z{size} {word[-k:]}"}
+        if places > 1:
+            out |= {f"m{size} {word[k + 1 + d : size - k - 1 + d]}" for d in ((-1, 0, 1) if asked else (0,))}
+    return sorted(out)
 
 
-def candidates(unknown: DataFrame, known: DataFrame) -> DataFrame:
+def candidates(unknown: DataFrame, known: DataFrame, places: int = 1, shards: int = 96) -> DataFrame:
     """word, entry, score: the words (word, n) that are misreadings, and the known words (word, n) they may stand for.
 
-    Both sides are dealt out by the ends of the words; each shard of the vocabulary becomes a trie that is
+    Both sides are dealt out by length and ends of the words; each shard of the vocabulary becomes a trie that is
     intersected with the Levenshtein automata of the shard's unknown words. Shards hold different words, not
-    occurrences, and SHARDS sets how many there are. The score is an entry's frequency by the required one.
+    occurrences; the ends grow with the words, so frequent endings are many shards. The score is an entry's
+    frequency by the required one.
     """
-    def shards(asked: bool):
-        return F.pandas_udf(lambda s: s.map(lambda w: sorted({zlib.crc32(e.encode()) % SHARDS for e in _ends(w, asked)})), "array<int>")
 
-    ask = unknown.select("word", "n", F.explode(shards(True)("word")).alias("shard"))
-    have = known.select("word", "n", F.explode(shards(False)("word")).alias("shard"))
+    def dealt(asked: bool):
+        return F.pandas_udf(lambda s: s.map(lambda w: sorted({zlib.crc32(e.encode()) % shards for e in _ends(w, asked, places)})), "array<int>")
+
+    ask = unknown.select("word", "n", F.explode(dealt(True)("word")).alias("shard"))
+    have = known.select("word", "n", F.explode(dealt(False)("word")).alias("shard"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -481,8 +559,8 @@ def candidates(unknown: DataFrame, known: DataFrame) -> DataFrame:
             count = dict(zip(right["word"].tolist(), right["n"].tolist()))
             trie = Automaton(count)
             for w, n in zip(left["word"].tolist(), left["n"].tolist()):
-                for e in trie.near(w):
-                    times, share = times_needed(w, e)
+                for e in trie.near(w, places, places > 1):
+                    times, share = times_needed(w, e, places)
                     score, most = count[e] / (n * times), share * count[e]
                     if score >= 1 and n <= most + 3 * most**0.5 + 2:
                         out.append((w, e, score))
@@ -506,84 +584,96 @@ def judged_words(found: DataFrame, single: DataFrame, pairs: DataFrame) -> DataF
     nothing = [F.lit(None).cast("string").alias("entry"), F.lit(None).cast("array<struct<score:double,entry:string>>").alias("others")]
     asked = found.select("role", F.explode(F.array(*[F.struct(F.col(c).alias("word"), F.lit(c).alias("part")) for c in ("a", "b", "ab", "pair")])).alias("x")).select("role", "x.*").where("word is not null")
     # A joined word counts as an occurrence only where the text itself has it, broken by a hyphen.
-    words = asked.where("part <> 'pair'").groupBy("word").agg(F.sum(F.when((F.col("part") == "ab") & (F.col("role") != "hyphen"), 0).when(F.col("role") == "pair", 0).otherwise(1)).alias("seen"))
-    seen = words.join(single, "word", "left")
+    occurs = F.when(F.col("part") == "pair", 0).when((F.col("part") == "ab") & (F.col("role") != "hyphen"), 0).when(F.col("role") == "pair", 0).otherwise(1)
+    words = cut(asked.groupBy("word", (F.col("part") == "pair").alias("two")).agg(F.sum(occurs).alias("seen")))
+    seen = words.where("not two").join(single, "word", "left")
     known = seen.where("n is not null").select("word", F.col("n").alias("n_known"), *nothing)
     unknown = cut(seen.where("n is null and seen > 0").select("word", F.col("seen").alias("n")))
     whole = _parts_known(unknown, single)
-    unknown = unknown.join(whole, "word", "left_anti")
+    unknown = cut(unknown.join(whole, "word", "left_anti"))
     often = unknown.where((F.col("n") >= SEEN_OFTEN) & F.col("word").rlike(r"\A[a-zäöü]+\z"))
-    wrong = cut(candidates(unknown.where(F.length("word") >= LEAST_WORD), single.where(F.length("word") >= LEAST_WORD).unionByName(often)))
-    best = wrong.groupBy("word").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("score"), "entry"))).alias("others"))
+    may_be = cut(single.where(F.length("word") >= LEAST_WORD).unionByName(often))
+    shards = 96 + may_be.count() // SHARD_WORDS
+    once = cut(candidates(unknown.where(F.length("word") >= LEAST_WORD), may_be, 1, shards))
+    left = unknown.where(F.length("word") >= LONG_WORD).join(once.select("word"), "word", "left_anti")
+    twice = candidates(left, may_be.where(F.length("word") >= LONG_WORD - 2), 2, shards)
+    best = cut(once.unionByName(twice).groupBy("word").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("score"), "entry"))).alias("others")))
     bad = best.select("word", F.lit(None).cast("bigint").alias("n_known"), F.col("others")[0]["entry"].alias("entry"), F.col("others").cast("array<struct<score:double,entry:string>>").alias("others"))
-    two = asked.where("part = 'pair'").select("word").distinct().join(pairs, F.col("word") == F.col("pair")).select("word", F.col("n").alias("n_known"), *nothing)
+    two = words.where("two").select("word").join(pairs, F.col("word") == F.col("pair")).select("word", F.col("n").alias("n_known"), *nothing)
     # Words that only the regions have, often enough and no misreading, are known too.
     own = often.join(bad.select("word"), "word", "left_anti").select("word", F.col("n").cast("bigint").alias("n_known"), *nothing)
     return known.unionByName(bad).unionByName(own).unionByName(two)
 
 
 def cases(found: DataFrame, judged: DataFrame) -> DataFrame:
-    """region_id, line_no, kind, wrong, entry: every case, with what is wrong and what should stand there."""
-    table = broadcast_if_small(judged, JUDGED_ROWS)
-
-    def look(df: DataFrame, column: str) -> DataFrame:
-        return df.join(table.select(F.col("word").alias(column), F.col("n_known").alias(f"{column}_n"), F.col("entry").alias(f"{column}_e")), column, "left")
+    """volume, chunk, region_id, line_no, kind, wrong, entry: every case, with what is wrong and what should stand there.
 
-    none = F.lit(None).cast("string")
-
-    def case(df: DataFrame, kind: str, wrong=none, entry=none, region="region_id", line="line_no") -> DataFrame:
-        return df.select(F.col(region).alias("region_id"), F.col(line).alias("line_no"), F.lit(kind).alias("kind"), wrong.alias("wrong"), entry.alias("entry"))
-
-    words = look(found.where("role = 'word'"), "a").where("a_e is not null")
-    two = look(look(found.where("role = 'pair'"), "ab"), "pair")
-    rare = F.coalesce("pair_n", F.lit(0)) * PAIR_TIMES <= F.col("ab_n")
-    split = two.where(F.col("ab_n").isNotNull() & rare)
-    opened = look(look(look(look(found.where("role = 'open'"), "a"), "b"), "ab"), "pair")
-    broken = F.col("ab_n").isNotNull() & rare
-    whole = opened.where(~broken | broken.isNull())
-    hyphen = look(found.where("role = 'hyphen'"), "ab")
-    joining = look(found.where("role = 'joining'"), "ab").where("ab_n is not null")
-    wrong = hyphen.where("ab_e is not null").withColumn("at", F.pandas_udf(lambda w, e: pd.Series([difference(x, y)[0] for x, y in zip(w, e)], dtype="int"), "int")("ab", "ab_e"))
-    here = F.col("at") < F.col("cut")
-    parts = [
-        case(found.where("role = 'furniture'"), "furniture"),
-        case(found.where("role = 'hyphen'"), "hyphen"),
-        case(joining, "hyphen"),
-        case(opened.where(broken), "hyphen"),
-        case(words, "misread", F.col("a"), F.col("a_e")),
-        case(split, "misread", F.col("pair"), F.col("ab")),
-        case(whole.where("a_e is not null"), "misread", F.col("a"), F.col("a_e")),
-        case(whole.where("b_e is not null"), "misread", F.col("b"), F.col("b_e"), "region2", "line2"),
-        case(wrong.where(here), "misread", F.col("ab"), F.col("ab_e")),
-        case(wrong.where(~here), "misread", F.col("ab"), F.col("ab_e"), "region2", "line2"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def scan(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(boilerplate lines, sites, judged words, trusted texts) of the regions, each computed once.
+    The sites are read once and looked up by each of their texts; a site without a text gets a key of its own, so
+    that nulls do not meet in one task.
+    """
+    table = broadcast_if_small(judged.select("word", "n_known", "entry"))
+    rows = found
+    for c in ("a", "b", "ab", "pair"):
+        key = F.coalesce(F.col(c), F.concat(F.lit("\0"), F.col("region_id").cast("string"), F.lit(" "), F.col("line_no").cast("string")))
+        rows = rows.join(table.alias("known"), key == F.col("known.word"), "left").select(*rows.columns, F.col("known.n_known").alias(f"{c}_n"), F.col("known.entry").alias(f"{c}_e"))
+    at, none = F.struct("region_id", "line_no"), F.lit(None).cast("string")
+    behind = F.struct(F.col("region2").alias("region_id"), F.col("line2").alias("line_no"))
+    role = lambda *names: F.col("role").isin(*names)
+
+    def case(when: Column, kind: str, wrong: Column = none, entry: Column = none, where: Column = at) -> Column:
+        return F.when(when, F.struct(where["region_id"].alias("region_id"), where["line_no"].alias("line_no"), F.lit(kind).alias("kind"), wrong.alias("wrong"), entry.alias("entry")))
+
+    joined = F.coalesce(F.col("ab_n").isNotNull() & (F.coalesce("pair_n", F.lit(0)) * PAIR_TIMES <= F.col("ab_n")), F.lit(False))
+    apart = role("open") & ~joined
+    # Where a broken word and its entry begin to differ tells whose line the misreading is in.
+    same = F.size(F.filter(F.sequence(F.lit(1), F.least(F.length("ab"), F.length("ab_e"))), lambda i: F.substr(F.col("ab"), F.lit(1), i) == F.substr(F.col("ab_e"), F.lit(1), i)))
+    wrong = role("hyphen") & F.col("ab_e").isNotNull()
+    here = F.when(wrong, same < F.col("cut"))
+    all_cases = F.array(
+        case(role("furniture"), "furniture"),
+        case(role("hyphen") | (role("joining") & F.col("ab_n").isNotNull()) | (role("open") & joined), "hyphen"),
+        case((role("word") | apart) & F.col("a_e").isNotNull(), "misread", F.col("a"), F.col("a_e")),
+        case(apart & F.col("b_e").isNotNull(), "misread", F.col("b"), F.col("b_e"), behind),
+        case(role("pair") & joined, "misread", F.col("pair"), F.col("ab")),
+        case(wrong & here, "misread", F.col("ab"), F.col("ab_e")),
+        case(wrong & ~here, "misread", F.col("ab"), F.col("ab_e"), behind),
+    )
+    return rows.select("volume", "chunk", F.explode(F.filter(all_cases, lambda x: x.isNotNull())).alias("x")).select("volume", "chunk", "x.*")
+
+
+class Scan(NamedTuple):
+    """What is known of the regions; every frame is written once."""
+
+    gone: DataFrame
+    sites: DataFrame
+    judged: DataFrame
+    texts: DataFrame
+
+
+def scan(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> Scan:
+    """Boilerplate lines, sites, judged words and trusted texts of the regions.
 
     Null and empty lines, regions without lines and repeated deliveries do no harm; regions without a volume,
     chunk, page or id are left out; null labels are no Text; an empty table gives no rows. Boilerplate (problem 4)
     is left out before anything else.
     """
-    wanted = cut(repeated.boilerplate_lines(regions))
+    sc = regions.sparkSession.sparkContext
+    gone = cut(repeated.boilerplate(regions).gone.select("volume", "chunk", "region_id", "line_no"))
     texts = trusted_texts(articles, lists, glossary, samples.where("lang = 'de'"))
     single = cut(trusted_words(texts))
-    usual = [r[0] for r in single.orderBy(F.desc("n"), "word").limit(USUAL_WORDS).collect()]
-    pairs = cut(trusted_pairs(texts, usual))
-    two = [r[0] for r in pairs.orderBy(F.desc("n"), "pair").limit(USUAL_PAIRS).collect()]
-    met = cut(sites(regions, wanted, usual, two))
-    return wanted, met, cut(judged_words(met, single, pairs)), texts
+    known = sc.broadcast(known_words(single))
+    pairs = cut(trusted_pairs(texts, known))
+    # Pairs that are certainly two words need no look; those sent save work, the others are told by the joins.
+    certain = pairs.join(single.select(F.col("word"), F.col("n").alias("m")), F.translate("pair", " ", "") == F.col("word")).where(F.col("n") * PAIR_TIMES > F.col("m"))
+    two = sc.broadcast([r[0] for r in certain.select("pair", "n").orderBy(F.desc("n"), "pair").limit(USUAL_PAIRS).collect()])
+    met = cut(sites(regions, gone, known, two))
+    return Scan(gone, met, cut(judged_words(met, single, pairs)), texts)
 
 
 def scan_cases(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> DataFrame:
     """Every hyphen, misread word and piece of furniture of the regions: region_id, line_no, kind, wrong, entry."""
-    _, met, judged, _ = scan(regions, articles, lists, glossary, samples)
-    return cases(met, judged)
+    told = scan(regions, articles, lists, glossary, samples)
+    return cases(told.sites, told.judged).drop("volume", "chunk")
 
 
 def found(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> DataFrame:
@@ -597,7 +687,7 @@ def in_context(met: DataFrame, judged: DataFrame, texts: DataFrame) -> DataFrame
     """region_id, line_no, wrong, entry: for single misread words with several candidates, the one that stands most
     often beside the same neighbours in the trusted texts; equal counts go by the score."""
     several = judged.where(F.size("others") > 1).select(F.col("word").alias("a"), "others")
-    asked = met.where("role = 'word'").join(several, "a").select("region_id", "line_no", "a", "left", "right", F.explode("others").alias("o"))
+    asked = met.where("role = 'word'").join(broadcast_if_small(several), "a").select("region_id", "line_no", "a", "left", "right", F.explode("others").alias("o"))
     asked = asked.select("region_id", "line_no", "a", "o.score", "o.entry", F.explode(F.array(F.concat_ws(" ", "left", "o.entry"), F.concat_ws(" ", "o.entry", "right"))).alias("two"))
 
     asked = cut(asked)
@@ -665,15 +755,13 @@ def paragraphs(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossa
     misread ones put right, lines reflowed with single spaces. A paragraph whose last word goes on in the next
     Text region takes that region in; ``regions`` names all of them. Regions left without text give no row.
     """
-    wanted, met, judged, texts = scan(regions, articles, lists, glossary, samples)
-    all_cases = cases(met, judged)
-    chosen = in_context(met, judged, texts).withColumnRenamed("entry", "better")
-    fixed = all_cases.join(chosen, ["region_id", "line_no", "wrong"], "left").withColumn("entry", F.coalesce("better", "entry")).drop("better")
-    where = regions.select("region_id", F.col("band_prefix").alias("volume"), "chunk").where("region_id is not null").dropDuplicates(["region_id"])
-    right = fixed.join(where, "region_id").select("volume", "chunk", "region_id", "line_no", "kind", "wrong", "entry")
+    told = scan(regions, articles, lists, glossary, samples)
+    chosen = cut(in_context(told.sites, told.judged, told.texts).withColumnRenamed("entry", "better"))
+    fixed = cases(told.sites, told.judged).join(broadcast_if_small(chosen), ["region_id", "line_no", "wrong"], "left").withColumn("entry", F.coalesce("better", "entry"))
+    right = fixed.select("volume", "chunk", "region_id", "line_no", "kind", "wrong", "entry")
     none = F.lit(None).cast("string")
-    gone = wanted.select("volume", "chunk", "region_id", "line_no", F.lit("gone").alias("kind"), none.alias("wrong"), none.alias("entry"))
-    left, _ = chunk_inputs(regions, wanted)
+    gone = told.gone.select("volume", "chunk", "region_id", "line_no", F.lit("gone").alias("kind"), none.alias("wrong"), none.alias("entry"))
+    left, _ = chunk_inputs(regions, told.gone)
 
     def write(pages: pa.Table, fixes: pa.Table) -> pa.Table:
         drop: set[tuple[int, int]] = set()

@@ -89,7 +89,7 @@ def test_empty(tables):
 
 @pytest.mark.parametrize("token, looked_at", [("i3s", True), ("ap5is", True), ("lä5st", True), ("sa|nd", True), ("au.ch", True), ("1st", True), ("12", False), ("5er", False), ("12cm", False), ("a1", False), ("b.", False), ("2b3", False)])
 def test_short_words_with_other_characters(token, looked_at):
-    assert s.Reader(set(), set()).token(token)[3] is not looked_at
+    assert s.Reader(s.Known([]), []).token(token)[3] is not looked_at
 
 
 def test_short_misread_words(spark, tables):
@@ -99,3 +99,65 @@ def test_short_misread_words(spark, tables):
     articles = spark.createDataFrame([("Es so auch der vers lässt läst " * 60,)], "body string")
     got = s.scan_cases(regions, articles, empty[2], empty[3], empty[4]).collect()
     assert {(r.region_id, r.wrong, r.entry) for r in got} == {(1, "ve|rs", "vers"), (2, "lä5st", "lässt"), (3, "au.ch", "auch")}
+
+
+@pytest.mark.parametrize("usual", [0, 5, 30_000])
+def test_the_bound_on_usual_words_changes_no_row(spark, tables, monkeypatch, usual):
+    """A rarer word broken into two usual ones is found whether it is among the words sent to the workers or not."""
+    body = "Das vor dem stand im Raum. " * 80 + "Der Vorstand tagt. " * 45 + "Im Vorraum zu gleich. Zugleich " * 30
+    lines = ["Der vor stand tagt. zu gleich", "Das vor dem stand im Raum.", "im Vor- raum und Vor", "stand tagt. Vorstcnd", "Das Heimat museum"]
+    regions = spark.createDataFrame([(1, "Band01", 1, 1, "Text", 0, lines, None), *[tuple(r) for r in tables[0].collect()[1:]]], REGION)
+    articles = tables[1].unionByName(spark.createDataFrame([(body,)], "body string"))
+    monkeypatch.setattr(s, "USUAL_WORDS", usual)
+    monkeypatch.setattr(s, "USUAL_PAIRS", usual)
+    got = {tuple(r) for r in s.scan_cases(regions, articles, *tables[2:]).where("region_id = 1").collect()}
+    assert got == {
+        (1, 1, "misread", "vor stand", "vorstand"), (1, 3, "hyphen", None, None), (1, 4, "misread", "vorstcnd", "vorstand"),
+        (1, 5, "misread", "heimat museum", "heimatmuseum"),
+    }
+
+
+def test_the_filter_knows_every_word(spark):
+    words = [f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)]
+    known = s.Known([], s.bloom_of(spark.createDataFrame([(w,) for w in words], "word string"), len(words)))
+    assert all(map(known.maybe, words)) and sum(known.maybe(w + "x") for w in words) < 100
+    assert s.Known(["a"]).maybe("a") and not s.Known(["a"]).maybe("b")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abcrnmiu", min_size=3, max_size=14), st.data())
+def test_a_misread_word_meets_its_entry_in_a_shard(entry, data):
+    """Words one place away, and long ones two confused places away, share a shard with their entry."""
+    for places in (1, 2):
+        word = entry
+        for _ in range(places):
+            i = data.draw(st.integers(0, len(word) - 1))
+            kind = data.draw(st.sampled_from("sla"))
+            word = word[:i] + {"s": "x" + word[i + 1 :], "l": word[i + 1 :], "a": "x" + word[i:]}[kind]
+            for a, b in [("m", "rn"), ("u", "ii")]:
+                if kind == "s" and a in word:
+                    word = word.replace("x", "", 1).replace(a, b, 1)
+                    break
+        if len(word) >= 3 and (places == 1 or len(entry) >= s.LONG_WORD - 2) and abs(len(word) - len(entry)) <= places:
+            if word in s.Automaton([word]).root or s.Automaton([entry]).near(word, places):
+                assert set(s._ends(word, True, places)) & set(s._ends(entry, False, places))
+
+
+def test_two_confused_places():
+    trie = s.Automaton(["kirchenschiff", "klosterhof"])
+    assert trie.near("kirchcnschiif", 2, True) == [] and trie.near("klrchcnschiff", 2, True) == ["kirchenschiff"]
+    assert trie.near("kirchemschif", 2) == ["kirchenschiff"] and trie.near("kirchemschif", 1) == []
+    assert trie.near("klosterhöfe", 2, True) == []  # an ending is no misreading
+
+
+@pytest.mark.parametrize("line, yes", [("A. Berg", True), ("A. Bcrg 12", True), ("Holz", False), ("12 A. Berg", True), ("A. Berg.", False)])
+def test_running_titles_are_folded_before_their_ends_are_taken(line, yes):
+    names = s.names_of("A. Berg, Kirche")
+    assert s._is_running_title(line, names, s.name_ends(names)) is yes
+
+
+def test_rare_misreadings_in_two_places(spark, tables):
+    regions = spark.createDataFrame([(1, "Band01", 1, 1, "Text", 0, ["Das klrchcnschiff ist hoch"], None)], REGION)
+    articles = spark.createDataFrame([("Das Kirchenschiff ist hoch. " * 60,)], "body string")
+    empty = [t.limit(0) for t in tables]
+    assert [tuple(r)[2:] for r in s.scan_cases(regions, articles, *empty[2:]).collect()] == [("misread", "klrchcnschiff", "kirchenschiff")]
