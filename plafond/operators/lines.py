@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plafond.functions.text import is_heading, lines_of, strip, table_of_pipes
+from plafond.operators.slices import first_after
 
 
 def exploded(df: DataFrame, key: list[str], text: str) -> DataFrame:
@@ -19,24 +20,21 @@ def rejoined(lines: DataFrame, key: list[str], line: str = "line", order: str =
     return lines.groupBy(*key).agg(F.array_join(F.transform(ordered, lambda x: x[line]), "\n").alias(name))
 
 
-def pipe_groups(lines: DataFrame, key: list[str]) -> DataFrame:
-    """Adds ``grp`` to every line with a pipe: runs of such lines, also across blank lines between them.
+def pipe_tables(df: DataFrame, key: list[str], text: str) -> DataFrame:
+    """One wiki table per run of lines with pipes, with its numbers of rows and columns.
 
-    Lines of one text are one window; the texts are the unit of distribution.
+    Runs go on across blank lines. ``first_line`` counts from 1 in the text. A text is cut up within its row, so
+    nothing is shuffled; a null text has no table.
     """
-    w = Window.partitionBy(*key).orderBy("line_no")
-    full = lines.where(strip(F.col("line")) != "").withColumn("has", F.col("line").contains("|"))
-    starts = (F.col("has") & ~F.coalesce(F.lag("has").over(w), F.lit(False))).cast("int")
-    runs = full.withColumn("start", starts).withColumn("grp", F.sum("start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.where("has").select(*key, "line_no", "line", F.col("grp").cast("bigint").alias("grp"))
-
-
-def pipe_tables(lines: DataFrame, key: list[str]) -> DataFrame:
-    """One wiki table per group of pipe lines with its numbers of rows and columns."""
-    groups = pipe_groups(lines, key)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    out = groups.groupBy(*key, "grp").agg(F.min("line_no").cast("bigint").alias("first_line"), ordered.alias("lines"), F.max(F.size(F.split("line", r"\|"))).cast("bigint").alias("n_cols"))
-    return out.select(*key, "grp", "first_line", F.size("lines").cast("bigint").alias("n_rows"), "n_cols", table_of_pipes(F.col("lines")).alias("wikitable"))
+    numbered = F.transform(lines_of(F.col(text)), lambda x, i: F.struct((i + 1).alias("n"), x.alias("line")))
+    step = df.select(*key, F.filter(numbered, lambda x: strip(x["line"]) != "").alias("_full"))
+    step = step.withColumn("_has", F.transform("_full", lambda x: x["line"].contains("|")))
+    edge = lambda k: F.filter(F.transform("_has", lambda h, i: F.when(h & ~F.coalesce(F.get("_has", i + k), F.lit(False)), i)), lambda i: i.isNotNull())
+    step = step.withColumn("_from", edge(-1)).withColumn("_to", edge(1))
+    runs = F.zip_with("_from", "_to", lambda a, z: F.slice("_full", a + 1, z - a + 1))
+    each = step.select(*key, F.posexplode(runs).alias("_g", "_run"))
+    each = each.select(*key, (F.col("_g") + 1).cast("bigint").alias("grp"), F.col("_run")[0]["n"].cast("bigint").alias("first_line"), F.transform("_run", lambda x: x["line"]).alias("lines"))
+    return each.select(*key, "grp", "first_line", F.size("lines").cast("bigint").alias("n_rows"), F.array_max(F.transform("lines", lambda x: F.size(F.split(x, r"\|")))).cast("bigint").alias("n_cols"), table_of_pipes(F.col("lines")).alias("wikitable"))
 
 
 def marker(line: Column) -> Column:
@@ -54,25 +52,24 @@ def paragraph_starts(lines: DataFrame, key: list[str]) -> DataFrame:
     t = strip(F.col("line"))
     below = (t == "") | (t.startswith("<!--") & (t.contains("citation-page") | t.contains("header:"))) | t.startswith("[[File:") | t.startswith("[[Datei:")
     heading = t.rlike(r"\A==\s+.*\s+==\z")
+    # Marks instead of lines go through the shuffle.
+    stop = F.when(heading, F.col("line_no")).when(below, F.col("line_no") + 1)
+    marks = lines.select(*key, "line_no", stop.alias("stop"), (t != "").alias("full"), marker(F.col("line")).alias("marked"))
     up = Window.partitionBy(*key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy(*key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     # At every line that is not blank: where a paragraph that contains it begins.
-    stop = F.max(F.when(heading, F.col("line_no")).when(below, F.col("line_no") + 1)).over(upto)
-    own = F.when(heading, F.col("line_no")).when(below, F.col("line_no") + 1).otherwise(F.coalesce(stop, F.lit(1)))
-    marked = lines.withColumn("own", own).withColumn("full", t != "")
+    own = F.coalesce("stop", F.max("stop").over(upto), F.lit(1))
     above = F.last(F.when(F.col("full"), F.col("own")), ignorenulls=True).over(up)
-    return marked.withColumn("start", F.coalesce(above, F.col("line_no"))).where(marker(F.col("line"))).select(*key, "line_no", F.col("start").cast("int").alias("paragraph_line"))
+    return marks.withColumn("own", own).withColumn("start", F.coalesce(above, F.col("line_no"))).where("marked").select(*key, "line_no", F.col("start").cast("int").alias("paragraph_line"))
 
 
 def paired(events: DataFrame, key: list[str], order: str, is_start: Column, is_end: Column) -> DataFrame:
-    """Every start with the first end after it; without one, ``end_at`` is the next start, else null.
+    """Every start with the first end after it, and the next start; null where there is none.
 
-    Overlaps stay: two starts may share an end. The window runs backwards, so its frame only grows: linear in the
-    rows of a key, where a frame that shrinks towards the end would be quadratic.
+    Overlaps stay: two starts may share an end. ``order`` is a number; a hot key is searched in slices of it.
     """
-    after = Window.partitionBy(*key).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
-    first = lambda c: F.min(F.when(c, F.col(order))).over(after)
-    out = events.withColumn("_s", is_start).withColumn("end_at", first(is_end)).withColumn("next_start", first(is_start))
+    marked = events.withColumn("_s", is_start)
+    out = first_after(marked, key, order, {"end_at": is_end, "next_start": is_start}, 4096)
     return out.where("_s").select(*key, F.col(order).alias("start_at"), "end_at", "next_start")
 
 
@@ -103,3 +100,18 @@ def fuzzy_lines(lines: DataFrame, target: str, most: int = 3) -> DataFrame:
     bare = strip(F.regexp_replace(strip(F.col("line")), r"\A=+|=+\z", ""))
     cand = lines.withColumn("bare", bare).where((F.col("bare") != "") & (F.abs(F.length("bare") - len(target)) <= most))
     return cand.withColumn("distance", F.levenshtein("bare", F.lit(target), most)).where("distance >= 0").withColumn("in_heading", is_heading(F.col("line")))
+
+
+def rewritten_headings(df: DataFrame, text: str, target: str, most: int = 3) -> DataFrame:
+    """Lines that are up to ``most`` edits from the target, with or without heading signs, become its heading.
+
+    Adds ``fixed``, the number of lines changed. Lines that are that heading already stay as they are, and so do
+    texts without others. A line end at the end of the text is kept. All within the row.
+    """
+    heading = f"== {target} =="
+    bare = lambda x: strip(F.btrim(strip(x), F.lit("=")))
+    near = lambda x: (bare(x) != "") & (F.abs(F.length(bare(x)) - len(target)) <= most) & (F.levenshtein(bare(x), F.lit(target), most) >= 0) & (strip(x) != heading)
+    step = df.withColumn("_lines", lines_of(F.col(text))).withColumn("_hit", F.transform("_lines", near))
+    new = F.array_join(F.zip_with("_lines", "_hit", lambda x, h: F.when(h, heading).otherwise(x)), "\n")
+    step = step.withColumn("fixed", F.size(F.filter("_hit", lambda h: h)))
+    return step.withColumn(text, F.when(F.col("fixed") > 0, F.concat(new, F.when(F.col(text).endswith("\n"), "\n").otherwise(""))).otherwise(F.col(text))).drop("_lines", "_hit")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plafond.operators import slices
+
 
 def only_in(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     """Keys of the left side that the right side lacks."""
@@ -29,20 +31,20 @@ def continuity(rows: DataFrame, band: str, order: list[str], start: str, end: st
     """Adds ``issue`` and ``size``, comparing every range with the one before it in its volume.
 
     SAME start, else OVERLAP (starts before the end before), else GAP (starts after the next page); a shared
-    page is no issue. Rows with unreadable pages are left out beforehand.
+    page is no issue. Rows with unreadable pages are left out beforehand. The first of ``order`` is a number; a hot
+    volume is compared in slices of it.
     """
-    w = Window.partitionBy(band).orderBy(*order)
-    before, upto = F.lag(start).over(w), F.lag(end).over(w)
-    at = F.col(start)
+    both = slices.neighbours(rows, [band], order, [start, end])
+    before, upto, at = F.col(f"_beside.{start}"), F.col(f"_beside.{end}"), F.col(start)
     issue = F.when(before == at, "SAME").when(at < upto, "OVERLAP").when(at > upto + 1, "GAP")
     size = F.when(before == at, F.lit(None)).when(at < upto, upto - at + 1).when(at > upto + 1, at - upto - 1)
-    return rows.withColumn("issue", issue).withColumn("size", size.cast("int")).withColumn("inverted", F.col(end) < at)
+    return both.withColumn("issue", issue).withColumn("size", size.cast("int")).withColumn("inverted", F.col(end) < at).drop("_beside")
 
 
 def neighbours(rows: DataFrame, band: str, order: list[str], name: str) -> DataFrame:
-    """The entries before and after each in its volume."""
-    w = Window.partitionBy(band).orderBy(*order)
-    return rows.withColumn("davor", F.lag(name).over(w)).withColumn("danach", F.lead(name).over(w))
+    """The entries before and after each in its volume; the first of ``order`` is a number."""
+    before = slices.neighbours(rows, [band], order, [name]).withColumn("davor", F.col(f"_beside.{name}")).drop("_beside")
+    return slices.neighbours(before, [band], order, [name], ahead=True).withColumn("danach", F.col(f"_beside.{name}")).drop("_beside")
 
 
 def last_writer(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
