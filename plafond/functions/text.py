@@ -57,9 +57,14 @@ def is_heading(line: Column) -> Column:
 
 
 def heading_text(line: Column) -> Column:
-    """the text of a heading of any depth, also with unequal sides; null for other lines."""
-    form = r"\A(==+)\s*(.+?)\s*(==+)\s*\z"
-    return F.when(strip(line).rlike(form), strip(F.regexp_extract(strip(line), form, 2)))
+    """the text of a heading of any depth, also with unequal sides; null for other lines.
+
+    A line of five or more signs and nothing else is a heading whose text is one of them.
+    """
+    t = strip(line)
+    inner = F.btrim(t, F.lit("="))
+    signs = (inner == "") & (F.length(t) >= 5)
+    return F.when(t.startswith("==") & t.endswith("=="), F.when(signs, "=").when(inner != "", strip(inner)))
 
 
 def all_caps(text: Column) -> Column:
