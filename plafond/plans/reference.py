@@ -152,15 +152,18 @@ def printed_page(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
+WITH v AS (SELECT source AS moving FROM documents GROUP BY 1 ORDER BY count(*), 1 LIMIT 1), l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
 p AS (SELECT doc_id, source, line, nullif(regexp_extract(line, '^<!-- citation-page-(?:top|bottom): \S+ p([0-9]+) -->', 1), '')::INTEGER AS n FROM l)
-SELECT doc_id, n AS page_before, CASE WHEN source = 'Band08' AND n >= 14 THEN n + 2 ELSE n END::INTEGER AS page_after, (source = 'Band08' AND n >= 14) AS changed FROM p WHERE n IS NOT NULL
+SELECT doc_id, n AS page_before, CASE WHEN source = moving AND n >= 14 THEN n + 2 ELSE n END::INTEGER AS page_after, (source = moving AND n >= 14) AS changed FROM p, v WHERE n IS NOT NULL
 """)
 def page_shift(spark: SparkSession, d: str) -> DataFrame:
-    """Citation pages of one volume moved by 2 from page 14 on, every citation line of every document."""
-    each = lines.exploded(table(spark, d, "documents").where("text is not null"), ["doc_id", "source"], "text")
+    """Citation pages of one volume, that with the fewest documents, moved by 2 from page 14 on, every citation
+    line of every document."""
+    docs = table(spark, d, "documents")
+    volume = docs.groupBy("source").count().orderBy("count", "source").first()
+    each = lines.exploded(docs.where("text is not null"), ["doc_id", "source"], "text")
     n = fk.extract(F.col("line"), r"\A<!-- citation-page-(?:top|bottom): \S+ p([0-9]+) -->").cast("int")
-    moved = (F.col("source") == "Band08") & (F.col("n") >= 14)
+    moved = (F.col("source") == (volume["source"] if volume else None)) & (F.col("n") >= 14)
     return each.withColumn("n", n).where("n is not null").select("doc_id", F.col("n").alias("page_before"), F.when(moved, F.col("n") + 2).otherwise(F.col("n")).alias("page_after"), moved.alias("changed"))
 
 
@@ -184,11 +187,13 @@ def latest_list(spark: SparkSession, d: str, *columns: str) -> DataFrame:
 
 @query(rf"""
 WITH x AS (SELECT row_id, bauwerk, unnest(list_filter(list_transform(string_split('Zu Turm: ' || literaturangabe || chr(10) || '& ' || literaturangabe, chr(10)), lambda x: trim(regexp_replace(trim(x), '^&+', ''))), lambda x: x <> '')) AS part FROM ({LATEST_LIST}) WHERE literaturangabe IS NOT NULL AND bauwerk IS NOT NULL)
-SELECT row_id, part, regexp_extract(part, 'S\.?\s*([0-9]+)(?:\s*[-–]\s*([0-9]+))?\.?\s*$', 1) AS page_from,
-  coalesce(nullif(regexp_extract(part, 'S\.?\s*([0-9]+)(?:\s*[-–]\s*([0-9]+))?\.?\s*$', 2), ''), regexp_extract(part, 'S\.?\s*([0-9]+)(?:\s*[-–]\s*([0-9]+))?\.?\s*$', 1)) AS page_to,
+SELECT row_id, part, CASE WHEN fine THEN ends[1] ELSE '' END AS page_from, CASE WHEN fine THEN ends[len(ends)] ELSE '' END AS page_to,
   CASE WHEN strpos(bauwerk, ',') > 0 THEN left(bauwerk, strpos(bauwerk, ',') - 1) ELSE bauwerk END AS place,
   CASE WHEN strpos(part, ': ') > 0 THEN substr(part, strpos(part, ': ') + 2) ELSE part END AS bare,
-  CASE WHEN regexp_extract(part, '^Zu\s+(.+?)\s*:', 1) <> '' THEN bauwerk || ', ' || regexp_extract(part, '^Zu\s+(.+?)\s*:', 1) ELSE bauwerk END AS building FROM x
+  CASE WHEN starts_with(part, 'Zu ') AND strpos(part, ':') > 0 AND trim(substr(split_part(part, ':', 1), 3)) <> '' THEN bauwerk || ', ' || trim(substr(split_part(part, ':', 1), 3)) ELSE bauwerk END AS building
+FROM (SELECT *, contains(part, 'S') AND len(ends) <= 2 AND len(list_filter(ends, lambda e: NOT regexp_full_match(e, '[0-9]+'))) = 0 AS fine
+  FROM (SELECT *, list_transform(string_split(replace(ltrim(CASE WHEN starts_with(tail, '.') THEN substr(tail, 2) ELSE tail END), '–', '-'), '-'), lambda e: CASE WHEN contains(tail, '-') OR contains(tail, '–') THEN trim(e) ELSE e END) AS ends
+    FROM (SELECT *, CASE WHEN ends_with(rtrim(string_split(part, 'S')[-1]), '.') THEN left(rtrim(string_split(part, 'S')[-1]), length(rtrim(string_split(part, 'S')[-1])) - 1) ELSE rtrim(string_split(part, 'S')[-1]) END AS tail FROM x)))
 """)
 def citation_range(spark: SparkSession, d: str) -> DataFrame:
     """Citations taken apart; each cell is given a second citation by the same expression."""

@@ -48,13 +48,13 @@ def missing_stage(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH p AS (SELECT DISTINCT band_prefix, chunk, page FROM layout_regions), c AS (SELECT DISTINCT band_prefix, chunk FROM p), l AS (SELECT band_prefix, max(chunk) AS last FROM c GROUP BY 1),
+WITH p AS (SELECT DISTINCT band_prefix, chunk, page FROM layout_regions WHERE label = 'Caption'), c AS (SELECT DISTINCT band_prefix, chunk FROM p), l AS (SELECT band_prefix, max(chunk) AS last FROM c GROUP BY 1),
 e AS (SELECT c.band_prefix, c.chunk, unnest(range(1, 26))::INTEGER AS page FROM c JOIN l USING (band_prefix) WHERE c.chunk < l.last)
 SELECT e.* FROM e ANTI JOIN p USING (band_prefix, chunk, page)
 """)
 def expected_series_gap(spark: SparkSession, d: str) -> DataFrame:
-    """Pages missing in chunks of 25, the last chunk of a volume left out."""
-    return pages.missing_in_series(table(spark, d, "layout_regions").select("band_prefix", "chunk", "page").distinct(), "band_prefix", "chunk", "page")
+    """Pages without a caption in chunks of 25, the last chunk of a volume left out (no page is missing outright)."""
+    return pages.missing_in_series(table(spark, d, "layout_regions").where("label = 'Caption'").select("band_prefix", "chunk", "page").distinct(), "band_prefix", "chunk", "page")
 
 
 @query(f"""
@@ -63,7 +63,7 @@ SELECT c.doc_id, CASE WHEN c.bottom IS NULL AND w.wiki_bottom IS NOT NULL THEN '
 FROM c LEFT JOIN w ON c.source = w.source AND c.top = w.top WHERE c.stage = 'pass1'
 """)
 def stage_backfill(spark: SparkSession, d: str) -> DataFrame:
-    """Metadata of second-stage pages filled from the first stage's page of the same key."""
+    """Metadata of second-stage pages filled from the first stage's page of the same key."""
     c = cited(spark, d)
     wiki = c.where("stage = 'wiki' and top is not null").groupBy("source", "top").agg(F.min("doc_id").alias("wiki_id"), F.min("bottom").alias("wiki_bottom"))
     both = c.where("stage = 'pass1'").join(wiki, ["source", "top"], "left")
@@ -206,13 +206,13 @@ def categories(spark: SparkSession, d: str) -> DataFrame:
 WITH t AS (SELECT article_id, fields, body, '{{{{Artikel' || chr(10) || '|Band=' || (fields['Band']) || chr(10) || '|Chunk=' || coalesce(fields['Chunk'], '') || chr(10) || '|Chunkseite=' || coalesce(fields['Chunkseite'], '') || chr(10) ||
   '|Originalseitenvon=' || coalesce(fields['Originalseitenvon'], '') || chr(10) || '|Originalseitenbis=' || coalesce(fields['Originalseitenbis'], '') || chr(10) || '|Lemma=' || coalesce(fields['Lemma'], '') || chr(10) ||
   '|Typ=' || coalesce(fields['Typ'], '') || chr(10) || '|Ort=' || coalesce(fields['Ort'], '') || chr(10) || '|davor=' || coalesce(fields['davor'], '') || chr(10) || '|danach=' || coalesce(fields['danach'], '') ||
-  coalesce(chr(10) || '|AutorIn1=' || nullif(fields['AutorIn1'], ''), '') || chr(10) || '}}}}' AS block FROM ({r.ARTICLES}) WHERE body IS NOT NULL)
+  coalesce(array_to_string(list_transform(list_filter([fields['AutorIn1'], fields['AutorIn2'], fields['AutorIn3'], fields['AutorIn4'], fields['AutorIn5'], fields['AutorIn6']], lambda x: x <> ''), lambda x, i: chr(10) || '|AutorIn' || i || '=' || x), ''), '') || chr(10) || '}}}}' AS block FROM ({r.ARTICLES}) WHERE body IS NOT NULL)
 SELECT article_id, block, block || chr(10) || chr(10) || body || chr(10) AS file FROM t
 """)
 def template_build(spark: SparkSession, d: str) -> DataFrame:
-    """Metadata block and article file from fields (with the first author)."""
+    """Metadata block and article file from fields, with all authors."""
     f = F.col("fields")
-    authors = F.filter(F.array(f["AutorIn1"]), lambda x: x.isNotNull() & (x != ""))
+    authors = F.filter(F.array(*[f[f"AutorIn{i}"] for i in range(1, 7)]), lambda x: x.isNotNull() & (x != ""))
     rows = r.latest_articles(spark, d, "fields", "body").where("body is not null")
     block = fa.template_block(f["Band"], f["Chunk"], f["Chunkseite"], f["Originalseitenvon"], f["Originalseitenbis"], f["Lemma"], f["Typ"], f["Ort"], f["davor"], f["danach"], authors)
     return rows.select("article_id", block.alias("block"), "body").select("article_id", "block", fa.article_text(F.col("block"), F.col("body")).alias("file"))

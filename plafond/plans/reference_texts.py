@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +49,7 @@ SELECT article_id, grp::BIGINT AS grp, min(line_no)::BIGINT AS first_line, count
 """.replace("{{|", "{|").replace("|}}", "|}"))
 def pipe_tables(spark: SparkSession, d: str) -> DataFrame:
     """Runs of lines with pipes as wiki tables."""
-    return lines.pipe_tables(lines.exploded(bodies(spark, d), ["article_id"], "body"), ["article_id"])
+    return lines.pipe_tables(bodies(spark, d), ["article_id"], "body")
 
 
 @query(rf"""
@@ -69,10 +67,10 @@ def paragraph_start(spark: SparkSession, d: str) -> DataFrame:
 
 @query(rf"""
 WITH x AS (SELECT article_id, regexp_replace(body, '\n$', '') || chr(10) || ' === ' || file_stem || ' ==' AS body FROM ({r.ARTICLES}) WHERE body IS NOT NULL),
-l AS (SELECT article_id, unnest(string_split(body, chr(10))) AS line, unnest(range(1, len(string_split(body, chr(10))) + 1))::INTEGER AS line_no FROM x), h AS (SELECT *, {ST} AS t FROM l)
-SELECT article_id, line_no, regexp_extract(t, '^(==+)\s*(.+?)\s*(==+)\s*$', 2) AS heading, starts_with(t, '== ') AND ends_with(t, ' ==') AND NOT starts_with(t, '=== ') AS level2,
-  regexp_extract(line, '^\s*') || regexp_extract(t, '^(==+)\s*(.+?)\s*(==+)\s*$', 2) AS plain FROM h
-WHERE regexp_matches(t, '^(==+)\s*(.+?)\s*(==+)\s*$') AND regexp_extract(t, '^(==+)\s*(.+?)\s*(==+)\s*$', 2) NOT IN {NAMES}
+l AS (SELECT article_id, unnest(string_split(body, chr(10))) AS line, unnest(range(1, len(string_split(body, chr(10))) + 1))::INTEGER AS line_no FROM x), h AS (SELECT *, {ST} AS t FROM l),
+n AS (SELECT *, CASE WHEN trim(t, '=') = '' THEN CASE WHEN length(t) >= 5 THEN '=' END ELSE regexp_replace(trim(t, '='), '^\s+|\s+$', '', 'g') END AS heading FROM h WHERE starts_with(t, '==') AND ends_with(t, '=='))
+SELECT article_id, line_no, heading, starts_with(t, '== ') AND ends_with(t, ' ==') AND NOT starts_with(t, '=== ') AS level2, regexp_extract(line, '^\s*') || heading AS plain FROM n
+WHERE heading IS NOT NULL AND heading NOT IN {NAMES}
 """)
 def noncanonical_heading(spark: SparkSession, d: str) -> DataFrame:
     """Headings outside a set of names, and their lines without the heading signs. Both sides append one."""
@@ -85,17 +83,14 @@ def noncanonical_heading(spark: SparkSession, d: str) -> DataFrame:
 @query(rf"""
 WITH l AS ({BODY_LINES}), h AS (SELECT article_id, line_no, line, {ST} AS t FROM l),
 b AS (SELECT *, regexp_replace(regexp_replace(t, '^=+|=+$', '', 'g'), '^\s+|\s+$', '', 'g') AS bare FROM h),
-c AS (SELECT * FROM b WHERE bare <> '' AND abs(length(bare) - 6) <= 3 AND regexp_full_match(bare, '[\x01-\x7f]+'))
-SELECT CASE WHEN levenshtein(bare, 'Befund') = 0 THEN 'exact' ELSE 'fuzzy' END AS match_kind, starts_with(t, '==') AND ends_with(t, '==') AS in_heading, count(*)::BIGINT AS n FROM c WHERE levenshtein(bare, 'Befund') <= 3 GROUP BY 1, 2
+c AS (SELECT *, levenshtein(regexp_replace(bare, '[^\x01-\x7f]', '?', 'g'), 'Befund') AS dist FROM b WHERE bare <> '' AND abs(length(bare) - 6) <= 3)
+SELECT CASE WHEN dist = 0 THEN 'exact' ELSE 'fuzzy' END AS match_kind, starts_with(t, '==') AND ends_with(t, '==') AS in_heading, count(*)::BIGINT AS n FROM c WHERE dist <= 3 GROUP BY 1, 2
 """)
 def fuzzy_heading(spark: SparkSession, d: str) -> DataFrame:
-    """Exact and near spellings of a heading, counted (lines of ASCII, where both engines agree)."""
-    return heading_counts(near_headings(spark, d).where(F.col("bare").rlike(r"\A[\x01-\x7f]+\z")))
-
+    """Exact and near spellings of a heading, counted over lines of any characters.
 
-@query()
-def fuzzy_heading_all(spark: SparkSession, d: str) -> DataFrame:
-    """The counts of fuzzy_heading over lines of any characters. Tested by brute force."""
+    The SQL counts bytes, so it puts one sign for every character beyond ASCII; the heading has none of them.
+    """
     return heading_counts(near_headings(spark, d))
 
 
@@ -108,14 +103,29 @@ def heading_counts(near: DataFrame) -> DataFrame:
 
 
 @query(rf"""
-WITH l AS ({BODY_LINES}), h AS (SELECT article_id, line_no, CASE WHEN regexp_replace({ST}, '=', '', 'g') = ' Befund ' THEN '== BEFUND ==' ELSE line END AS line FROM l)
-SELECT article_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM h GROUP BY 1
+WITH x AS (SELECT article_id, body || chr(10) || CASE article_id % 4 WHEN 0 THEN '= Befünd ==' WHEN 1 THEN 'Refnd' WHEN 2 THEN '== Befund ==' ELSE 'Böfüde' END || CASE WHEN article_id % 3 = 0 THEN chr(10) ELSE '' END AS body FROM ({r.ARTICLES}) WHERE body IS NOT NULL),
+l AS (SELECT article_id, unnest(string_split(regexp_replace(body, '\n$', ''), chr(10))) AS line, unnest(range(1, len(string_split(regexp_replace(body, '\n$', ''), chr(10))) + 1)) AS line_no FROM x),
+b AS (SELECT *, {ST} AS t, regexp_replace(trim({ST}, '='), '^\s+|\s+$', '', 'g') AS bare FROM l),
+h AS (SELECT *, bare <> '' AND abs(length(bare) - 6) <= 3 AND levenshtein(regexp_replace(bare, '[^\x01-\x7f]', '?', 'g'), 'Befund') <= 3 AND t <> '== Befund ==' AS hit FROM b),
+n AS (SELECT article_id, string_agg(CASE WHEN hit THEN '== Befund ==' ELSE line END, chr(10) ORDER BY line_no) AS new, count(*) FILTER (WHERE hit)::INTEGER AS fixed FROM h GROUP BY 1)
+SELECT article_id, CASE WHEN fixed > 0 THEN new || CASE WHEN ends_with(body, chr(10)) THEN chr(10) ELSE '' END ELSE body END AS text, fixed FROM n JOIN x USING (article_id)
 """)
 def heading_rewrite(spark: SparkSession, d: str) -> DataFrame:
-    """Chosen lines replaced and the lines joined again in order."""
+    """Near spellings of a heading become that heading. Both sides append one to every body, some with umlauts."""
+    k = F.col("article_id") % 4
+    said = F.when(k == 0, "= Befünd ==").when(k == 1, "Refnd").when(k == 2, "== Befund ==").otherwise("Böfüde")
+    rows = bodies(spark, d).select("article_id", F.concat("body", F.lit("\n"), said, F.when(F.col("article_id") % 3 == 0, "\n").otherwise("")).alias("text"))
+    return lines.rewritten_headings(rows, "text", "Befund")
+
+
+@query(rf"""
+WITH l AS ({BODY_LINES}), h AS (SELECT article_id, line_no, replace(line, 'Befund', 'BEFUND') AS line FROM l)
+SELECT article_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM h GROUP BY 1
+""")
+def lines_rejoined(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies cut into lines, changed, and joined again in order."""
     each = lines.exploded(bodies(spark, d), ["article_id"], "body")
-    hit = F.replace(ft.strip(F.col("line")), F.lit("="), F.lit("")) == " Befund "
-    return lines.rejoined(each.withColumn("line", F.when(hit, "== BEFUND ==").otherwise(F.col("line"))), ["article_id"])
+    return lines.rejoined(each.withColumn("line", F.replace("line", F.lit("Befund"), F.lit("BEFUND"))), ["article_id"])
 
 
 @query(rf"""
@@ -125,7 +135,7 @@ w AS (SELECT article_id, array_to_string(list_transform(ls, lambda x: CASE WHEN
 SELECT article_id, regexp_replace(regexp_replace(t, '\n\n\n+', chr(10) || chr(10), 'g'), '^\n+|\n+$', '', 'g') AS body FROM w
 """)
 def body_normalise(spark: SparkSession, d: str) -> DataFrame:
-    """Normal form of bodies; both sides put spaces before full stops first."""
+    """Normal form of bodies; both sides put spaces before full stops first."""
     rows = bodies(spark, d).select("article_id", F.replace("body", F.lit(". "), F.lit(" . ")).alias("body"))
     return rows.select("article_id", ft.normal_body(F.col("body")).alias("body"))
 
@@ -158,26 +168,12 @@ def greedy_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH w AS (SELECT doc_id, string_split(left(regexp_replace(text, '[^a-z ]', '', 'g'), 400), ' ') AS ws FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN array_to_string(ws, '') ELSE coalesce(ws[1], '') || CASE WHEN doc_id % 3 = 1 AND len(ws) > 1 THEN array_to_string(ws[2:], '') ELSE '' END END AS response FROM w
+WITH w AS (SELECT doc_id, string_split(regexp_replace(text, '[^a-z ]', '', 'g'), ' ') AS ws FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN coalesce(ws[1], '') ELSE array_to_string(ws, '') END AS response FROM w
 """)
 def ndjson_concat(spark: SparkSession, d: str) -> DataFrame:
-    """Streams of JSON lines, built word by word from texts, one in three with an early end; bad lines between.
-
-    The SQL and so this query take the first 400 letters of each text; ndjson_whole takes them all.
-    """
-    return streams(spark, d, lambda letters: F.substr(letters, F.lit(1), F.lit(400)))
-
-
-@query()
-def ndjson_whole(spark: SparkSession, d: str) -> DataFrame:
-    """The streams of ndjson_concat, built from the whole texts. Tested by brute force."""
-    return streams(spark, d, lambda letters: letters)
-
-
-def streams(spark: SparkSession, d: str, part: Callable[[Column], Column]) -> DataFrame:
-    """Responses of the streams built from a part of the letters of each text."""
-    words = F.split(part(F.regexp_replace("text", "[^a-z ]", "")), " ")
+    """Streams of JSON lines, built word by word from whole texts, one in three with an early end; bad lines between."""
+    words = F.split(F.regexp_replace("text", "[^a-z ]", ""), " ")
     early = F.col("doc_id") % 3 == 2
     line = lambda w, i: F.concat(F.lit('{"response":"'), w, F.lit('","done":'), F.when(early & (i == 0), "true").otherwise("false"), F.lit("}\nbad\n\n5"))
     payload = F.array_join(F.transform("w", line), "\n")
@@ -185,24 +181,18 @@ def streams(spark: SparkSession, d: str, part: Callable[[Column], Column]) -> Da
 
 
 @query(r"""
-WITH x AS (SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN chr(10) || '----' || chr(10) || '12' WHEN 1 THEN chr(10) || chr(10) || '---- ' || chr(10) || chr(10) WHEN 2 THEN chr(10) || '----' || chr(10) || repeat('zu lang', 9) ELSE chr(10) || '----' || repeat(chr(10) || 'x', 14) END AS foot FROM documents WHERE length(regexp_replace(text, '\s', '', 'g')) > 0 AND NOT contains(text, 'citation-page-bottom') AND NOT regexp_matches(text, '----')),
-y AS (SELECT doc_id, regexp_replace(text, '\s+$', '') AS head, foot, chr(10) || '<!-- citation-page-bottom: B p1 -->' AS tail FROM x)
-SELECT doc_id, head || CASE WHEN doc_id % 4 IN (0, 1) THEN '' ELSE foot END || tail AS text, CASE WHEN doc_id % 4 < 3 THEN length(foot) ELSE 0 END::INTEGER AS removed, doc_id % 4 IN (0, 1) AS applied FROM y
+WITH f AS (SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN chr(10) || '----' || chr(10) || '12' WHEN 1 THEN chr(10) || chr(10) || '---- ' || chr(10) || chr(10) WHEN 2 THEN chr(10) || '----' || chr(10) || repeat('zu lang', 9) ELSE chr(10) || '----' || repeat(chr(10) || 'x', 14) END AS foot FROM documents WHERE text IS NOT NULL),
+x AS (SELECT doc_id, CASE WHEN contains(text, 'citation-page-bottom:') THEN text ELSE regexp_replace(text, '\s+$', '') || foot || chr(10) || '<!-- citation-page-bottom: B p1 -->' END AS t FROM f),
+l AS (SELECT *, string_split(t, chr(10)) AS ls FROM x),
+b AS (SELECT *, list_max(list_filter(range(1, len(ls) + 1), lambda i: contains(ls[i], 'citation-page-bottom:'))) AS low FROM l),
+r AS (SELECT *, list_max(list_filter(range(greatest(low - 14, 1), low), lambda i: regexp_matches(ls[i], '^\s*----'))) AS rule FROM b),
+k AS (SELECT *, coalesce(list_max(list_filter(range(1, rule), lambda i: NOT regexp_full_match(ls[i], '\s*'))), 0) AS kept FROM r),
+c AS (SELECT doc_id, t, CASE WHEN rule IS NULL THEN t ELSE array_to_string(ls[1:kept] || ls[low:], chr(10)) END AS cut FROM k)
+SELECT doc_id, CASE WHEN length(t) - length(cut) BETWEEN 1 AND 18 THEN cut ELSE t END AS text, (length(t) - length(cut))::INTEGER AS removed, length(t) - length(cut) BETWEEN 1 AND 18 AS applied FROM c
 """)
 def footer_trim(spark: SparkSession, d: str) -> DataFrame:
-    """Footers, appended to texts by the same expression on both sides, taken off again.
-
-    Texts that are blank or have a comment at the bottom or a rule of their own are left out, as in the SQL;
-    footer_trim_all takes them too.
-    """
-    docs = table(spark, d, "documents").where((F.length(F.regexp_replace("text", r"\s", "")) > 0) & ~F.contains("text", F.lit("citation-page-bottom")) & ~F.col("text").contains("----"))
-    return lines.without_footer(docs.select("doc_id", with_footer().alias("text")), "text").select("doc_id", "text", "removed", "applied")
-
-
-@query()
-def footer_trim_all(spark: SparkSession, d: str) -> DataFrame:
     """Footers taken off all texts. Texts with comments at the bottom are taken as they are, all others with
-    a footer appended. Tested by brute force."""
+    a footer appended."""
     docs = table(spark, d, "documents").where("text is not null")
     text = F.when(F.contains("text", F.lit("citation-page-bottom:")), F.col("text")).otherwise(with_footer())
     return lines.without_footer(docs.select("doc_id", text.alias("text")), "text").select("doc_id", "text", "removed", "applied")
@@ -271,16 +261,20 @@ def dehyphenate(spark: SparkSession, d: str) -> DataFrame:
     return r.regions(spark, d, "lines").select("region_id", ft.dehyphenated(F.col("lines")).alias("text"))
 
 
-@query("WITH " + JOINED + r""",
+#: The pages assembled from their regions: ends in the table ``pages``.
+PAGE_TEXTS = JOINED + r""",
 k AS (SELECT r.*, coalesce(j.text, '') AS t, band_prefix || '_chunk' || lpad(chunk::VARCHAR, 3, '0') AS folder FROM r LEFT JOIN j USING (region_id)),
 m AS (SELECT *, CASE WHEN label IN ('Picture', 'Figure') THEN chr(10) || '[[File:' || image_path || '|thumb' || CASE WHEN coalesce(caption, '') <> '' THEN '|' || caption ELSE '' END || ']]' || chr(10)
  WHEN label = 'Table' THEN CASE WHEN len(lines) > 0 THEN chr(10) || '{| class="wikitable"' || chr(10) || '|-' || chr(10) || array_to_string(list_transform(list_filter(lines, lambda x: trim(x) <> ''), lambda x: '| ' || regexp_replace(x, '^\s+|\s+$', '', 'g')), chr(10) || '|-' || chr(10)) || chr(10) || '|}' || chr(10) END
  WHEN t = '' THEN NULL WHEN label = 'Caption' THEN CASE WHEN NOT coalesce(caption_matched, false) THEN chr(10) || '''''''' || t || '''''''' || chr(10) END
  WHEN label IN ('Section-header', 'SectionHeader') THEN chr(10) || '== ' || t || ' ==' || chr(10) WHEN label IN ('Page-header', 'PageHeader') THEN '<!-- header: ' || t || ' -->'
  WHEN label IN ('Page-footer', 'PageFooter', 'Footnote') THEN CASE WHEN regexp_full_match(t, '[0-9]{1,4}') AND try_cast(t AS INTEGER) BETWEEN 1 AND 1000 THEN '<!-- ' || folder || ' Original Page ' || t || ' -->' ELSE chr(10) || '----' || chr(10) || t || chr(10) END
- ELSE t END AS m FROM k)
-SELECT band_prefix, chunk, page, CASE WHEN count(*) FILTER (WHERE m <> '') > 0 THEN '<!-- ' || any_value(folder) || ' Page ' || page || ' -->' || chr(10) || chr(10) || string_agg(m, chr(10) || chr(10) ORDER BY reading_pos, region_id) FILTER (WHERE m <> '') || chr(10) ELSE '' END AS text FROM m GROUP BY 1, 2, 3
-""")
+ ELSE t END AS m FROM k),
+pages AS (SELECT band_prefix, chunk, page, CASE WHEN count(*) FILTER (WHERE m <> '') > 0 THEN '<!-- ' || any_value(folder) || ' Page ' || page || ' -->' || chr(10) || chr(10) || string_agg(m, chr(10) || chr(10) ORDER BY reading_pos, region_id) FILTER (WHERE m <> '') || chr(10) ELSE '' END AS text FROM m GROUP BY 1, 2, 3)
+"""
+
+
+@query("WITH " + PAGE_TEXTS + "SELECT * FROM pages")
 def region_render(spark: SparkSession, d: str) -> DataFrame:
     """Pages assembled from their regions."""
     return layout.assembled_pages(r.regions(spark, d, "band_prefix", "chunk", "page", "label", "reading_pos", "image_path", "caption", "caption_matched", "lines"))

@@ -52,6 +52,13 @@ def _remove_written() -> None:
             return
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed when the process ends."""
+    path = f"{shared_dir(spark)}/plafond-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows as a table in the shared folder and read them from there.
 
@@ -59,8 +66,7 @@ def cut(df: DataFrame) -> DataFrame:
     tables are removed when the process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/plafond-{uuid.uuid4().hex}"
-    _WRITTEN.append((spark, path))
+    path = scratch(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

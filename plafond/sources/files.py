@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyarrow import fs as pa_fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plafond.functions.keys import extract, place_of
+from plafond.functions.text import squeezed
+from plafond.operators.slices import numbered
 
 
 def _path():
@@ -59,17 +63,49 @@ def list_of_cells(cells: DataFrame) -> DataFrame:
 
 
 def volume_texts(pages: DataFrame) -> DataFrame:
-    """One text per volume: its pages in order, with blank ends trimmed, and a last line end.
+    """One text per volume: its pages in order, joined by line ends, and a last line end.
 
-    For sinks only; operators keep pages as rows, because a volume's text is as long as the volume.
+    For volumes that fit into a row; ``write_volume_texts`` writes any.
     """
     ordered = F.array_sort(F.collect_list(F.struct("chunk", "page", "text")))
     return pages.groupBy("band_prefix").agg(F.concat(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n"), F.lit("\n")).alias("text"))
 
 
+def write_volume_texts(pages: DataFrame, path: str) -> None:
+    """A folder of text files per volume whose lines, file after file by name, are its pages in order.
+
+    Pages are dealt out by ranges of volume, chunk and page and stay rows, so a volume may be of any length.
+    """
+    ordered = pages.repartitionByRange("band_prefix", "chunk", "page").sortWithinPartitions("band_prefix", "chunk", "page")
+    ordered.select("band_prefix", F.col("text").alias("value")).write.mode("overwrite").partitionBy("band_prefix").text(path)
+
+
 def write_by_volume(rows: DataFrame, path: str) -> None:
-    """CSV files in a folder per volume; columns that begin with an underscore stay behind."""
-    rows.drop(*[c for c in rows.columns if c.startswith("_")]).write.mode("overwrite").partitionBy("band_prefix").csv(path, header=True)
+    """CSV files in a folder per volume; columns that begin with an underscore stay behind.
+
+    Quotes are doubled and white space and line ends kept, so ``read_list`` gives the same values back.
+    """
+    kept = rows.drop(*[c for c in rows.columns if c.startswith("_")])
+    kept.write.mode("overwrite").partitionBy("band_prefix").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def write_files(rows: DataFrame, root: str, path: str, text: str) -> None:
+    """Every row as a file of its own: ``text`` at ``root``/``path``, in UTF-8; rows without either are left out.
+
+    Written by the tasks themselves, wherever ``root`` is (a URI, or a path that all of them see). A file that is
+    written twice, by a task that is run again, is the same.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = pa_fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        for pdf in batches:
+            for at, t in zip(pdf["path"].tolist(), pdf["text"].tolist()):
+                fs.create_dir(f"{base}/{at}".rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(f"{base}/{at}") as f:
+                    f.write(t.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    rows.select(F.col(path).alias("path"), F.col(text).alias("text")).where("path is not null and text is not null").mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
 
 
 def changed_only(rows: DataFrame, old: str, new: str) -> DataFrame:
@@ -79,13 +115,21 @@ def changed_only(rows: DataFrame, old: str, new: str) -> DataFrame:
 
 def ordered_pages(pages: DataFrame) -> DataFrame:
     """S3, O3: pages with their position in the volume; the order itself is left to the sink."""
-    return pages.withColumn("position", F.row_number().over(Window.partitionBy("band_prefix").orderBy("chunk", "page")))
+    return numbered(pages, ["band_prefix"], ["chunk", "page"], "position")
+
+
+def page_subset(pages: DataFrame, names: list[str]) -> DataFrame:
+    """The pages of an explicit list of names such as ``p013``."""
+    return pages.where(F.concat(F.lit("p"), F.lpad(F.col("page").cast("string"), 3, "0")).isin(names))
+
+
+def write_ordered_list(rows: DataFrame, path: str, *order: Column) -> None:
+    """O2: a CSV list in a given order, its files in order of their names."""
+    rows.orderBy(*order).write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def appended(chunks: DataFrame, key: str, order: str, text: str) -> DataFrame:
     """Answers joined in order, squeezed."""
-    from plafond.functions.text import squeezed
-
     ordered = F.array_sort(F.collect_list(F.struct(order, text)))
     return chunks.groupBy(key).agg(squeezed(F.array_join(F.transform(ordered, lambda x: x[text]), "\n\n")).alias(text))
 

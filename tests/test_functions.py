@@ -131,7 +131,7 @@ def test_page_operators(spark):
     assert (w.v, w.written) == ("b", 2)
     text = "a|b\n\nc|d|e\nx\n|\n\nz"
     df = spark.createDataFrame([(1, text)], "i int, t string")
-    got = lines.pipe_tables(lines.exploded(df, ["i"], "t"), ["i"]).orderBy("grp").collect()
+    got = lines.pipe_tables(df, ["i"], "t").orderBy("grp").collect()
     assert [(r.first_line, r.n_rows, r.n_cols) for r in got] == [(1, 2, 3), (5, 1, 2)]
 
 
@@ -163,3 +163,75 @@ def test_sweep_line_corner_cases(spark):
 def test_latest(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "b"), (2, None, "c"), (None, 1, "d")], "k int, at int, row string")
     assert {tuple(r) for r in latest_by(df, "k", F.col("at")).collect()} == {(1, 2, "b"), (2, None, "c"), (None, 1, "d")}
+
+
+PAGES = [
+    # (page, sibling, page with what it lacked)
+    ("Text\n", "Vorspann\n<!-- dropbox: u -->\n\n<!-- citation-page-top: B p1 -->\nInhalt\n<!-- citation-page-bottom: B p2 -->", "<!-- dropbox: u -->\n<!-- citation-page-top: B p1 -->\n\nText\n<!-- citation-page-bottom: B p2 -->\n"),
+    ("<!-- citation-page-top: B p1 -->\nText  \n\n", "x\n  a <!--  citation-page-bottom: B p2 --> b -->", "<!-- citation-page-top: B p1 -->\nText\n<!--  citation-page-bottom: B p2 -->\n"),
+    ("Text", "ohne", "Text"),
+    ("Text", None, "Text"),
+    (None, "<!-- dropbox: u -->", None),
+    ("T\n<!-- citation-page-bottom: B p9 -->", "<!-- dropbox: u -->\nx\n<!-- citation-page-top: B p1 -->", "<!-- dropbox: u -->\n\nT\n<!-- citation-page-bottom: B p9 -->"),
+    ("", "", ""),
+]
+
+
+def test_metadata_copy(spark):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(PAGES)], "i int, t string, s string")
+    got = citations.with_metadata(df, "t", "s").orderBy("i").collect()
+    assert [r.t for r in got] == [x[2] for x in PAGES] and [bool(r.copied) for r in got] == [x[0] != x[2] for x in PAGES]
+
+
+def test_headings_rewritten(spark):
+    rows = ["a\n= Befünd ==\nb\n", "Befnd", "== Befund ==\n", "ohne\n\n", None, "", "  Befund  \r\nx\n", "Befundungen"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string")
+    got = [(r.t, r.fixed) for r in lines.rewritten_headings(df, "t", "Befund").orderBy("i").collect()]
+    assert got[0] == ("a\n== Befund ==\nb\n", 1) and got[1] == ("== Befund ==", 1) and got[2] == (rows[2], 0) and got[3] == (rows[3], 0)
+    assert got[4][0] is None and got[5] == ("", 0) and got[6] == ("== Befund ==\nx\n", 1) and got[7] == (rows[7], 0)
+
+
+def test_headings_of_signs(spark):
+    lines_in = ["== ==", "====", "=====", "=== a = ==", "== =a ==", "==a", "", None, " == B ===\t"]
+    assert values(spark, lines_in, ft.heading_text) == ["", None, "=", "a =", "=a", None, None, None, "B"]
+
+
+def test_citations_of_all_kinds(spark):
+    said = ["S.5-7", "S 5 – 7.", "S. 5-", "S. 5-6-7", "S. 5 .", "Seite 5", "S. a5", None, "12", "S.\n 12"]
+    assert values(spark, said, fk.citation_range) == [Row("5", "7"), Row("5", "7"), Row("", ""), Row("", ""), Row("", ""), Row("", ""), Row("", ""), Row("", ""), Row("", ""), Row("12", "12")]
+    named = ["Zu A: x", "Zu  A B : C: x", "ZuA: x", "Zu : x", "Zu A", None, "Zur A: x"]
+    assert values(spark, named, lambda x: fk.sub_building(F.lit("H"), x)) == ["H, A", "H, A B", "H", "H", "H", "H", "H"]
+
+
+def test_original_page_marks(spark):
+    mark = "<!-- Band01_chunk002 Original Page 7 -->"
+    texts = [f"a\n{mark}\nb", f"a {mark} b", f"{mark}\n\n{mark}", f"a\n{mark}\n{mark}\nb", "a", "", None]
+    assert values(spark, texts, citations.without_original_pages) == ["ab", "a  b", "", "ab", "a", "", None]
+
+
+def test_payload_streams_of_any_kind(spark):
+    rows = ['{"response":"a"}\n{"response":"b","done":true}\n{"response":"c"}', '{"response":"a"}\n{kaputt\n{"response":"b"}', '{"response":"a"},{"response":"x"}\n{"response":"b"}', '{"done":false}\n{"response":null}', "[1]\n5\n", '{"response":"ä\\n"}\r\n  {"response":"b"}', '{"response":"a","done":true}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, p string")
+    assert [r.response for r in payloads.responses(df, "p").orderBy("i").collect()] == ["ab", "ab", "ab", "", "", "ä\nb", "a"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("AB"), st.integers(0, 30), st.booleans()), max_size=25), st.integers(1, 9))
+def test_slices_against_whole_windows(spark, rows, width):
+    from pyspark.sql import Window
+
+    from plafond.operators import slices
+
+    df = spark.createDataFrame([(e, n, i, f"v{i}" if i % 3 else None, m) for i, (e, n, m) in enumerate(rows)], "e string, n int, i int, v string, m boolean")
+    w = Window.partitionBy("e").orderBy("n", "i")
+    want = {r.i: (r.a, r.b, r.c) for r in df.select("i", F.lag("v").over(w).alias("a"), F.lead("v").over(w).alias("b"), F.row_number().over(w).alias("c")).collect()}
+    before = slices.neighbours(df, ["e"], ["n", "i"], ["v"], width)
+    behind = slices.neighbours(df, ["e"], ["n", "i"], ["v"], width, ahead=True)
+    a, b = {r.i: r._beside and r._beside.v for r in before.collect()}, {r.i: r._beside and r._beside.v for r in behind.collect()}
+    c = {r.i: r.c for r in slices.numbered(df, ["e"], ["n", "i"], "c", width).collect()}
+    assert {i: (a[i], b[i], c[i]) for i in a} == want
+    first = {r.i: r.x for r in slices.first_after(df, ["e"], "n", {"x": F.col("m")}, width).collect()}
+    assert first == {i: min((n2 for e2, n2, m2 in rows if e2 == e and m2 and n2 > n), default=None) for i, (e, n, m) in enumerate(rows)}
+    one = df.dropDuplicates(["e", "n"])
+    last = {r.i: r._before for r in slices.last_before(one, ["e"], "n", "v", width).collect()}
+    assert last == {r.i: r.x for r in one.select("i", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("x")).collect()}

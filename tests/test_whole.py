@@ -32,7 +32,7 @@ def test_whole_streams(spark, documents):
             words = re.sub("[^a-z ]", "", t).split(" ")
             want[i] = words[0] if i % 3 == 2 else "".join(words)
     assert max(map(len, want.values())) > 400
-    assert {r.doc_id: r.response for r in rt.QUERIES["ndjson_whole"](spark, d).collect()} == want
+    assert {r.doc_id: r.response for r in rt.QUERIES["ndjson_concat"](spark, d).collect()} == want
 
 
 def trimmed(text):
@@ -57,7 +57,7 @@ def test_footers_of_all_texts(spark, documents):
     d, texts = documents([*TEXTS, "   ", "a\n----\nb", *own, *own[:3]])
     feet = ["\n----\n12", "\n\n---- \n\n", "\n----\n" + "zu lang" * 9, "\n----" + "\nx" * 14]
     want = {i: trimmed(t if "citation-page-bottom:" in t else re.sub(r"\s+\Z", "", t) + feet[i % 4] + "\n<!-- citation-page-bottom: B p1 -->") for i, t in texts.items() if t is not None}
-    assert {r.doc_id: (r.text, r.removed, r.applied) for r in rt.QUERIES["footer_trim_all"](spark, d).collect()} == want
+    assert {r.doc_id: (r.text, r.removed, r.applied) for r in rt.QUERIES["footer_trim"](spark, d).collect()} == want
     assert want[max(want)] == (own[2], 0, False) and any(x[2] and texts[i].count(end) == 2 for i, x in want.items())
 
 
@@ -76,4 +76,4 @@ def test_near_headings_of_any_characters(spark, monkeypatch):
     rows = spark.createDataFrame([(1, body)], "article_id bigint, body string")
     monkeypatch.setattr(rt, "bodies", lambda spark, d: rows)
     want = Counter(("exact" if x == "Befund" else "fuzzy", h) for x in bare for h in (False, True) if edits(x, "Befund") <= 3)
-    assert {(r.match_kind, r.in_heading): r.n for r in rt.QUERIES["fuzzy_heading_all"](spark, "").collect()} == dict(want)
+    assert {(r.match_kind, r.in_heading): r.n for r in rt.QUERIES["fuzzy_heading"](spark, "").collect()} == dict(want)
