@@ -6,7 +6,7 @@ lines, file names), both sides build it from columns with the same expression; t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plafond.functions import articles as fa
@@ -33,13 +33,21 @@ def query(sql: str | None = None):
 def latest_articles(spark: SparkSession, d: str, *columns: str | Column) -> DataFrame:
     """The latest delivery of every article, with only the columns needed.
 
-    Columns may be expressions: measures are computed in the scan. Texts do not go through a shuffle.
+    Columns may be expressions: measures are computed in the scan, and their rows are ranked. Bodies themselves do not
+    go through a shuffle: their repeats are told by narrow rows.
     """
-    return once(table(spark, d, "articles"), "article_id", "delivered_at", "article_id", *columns)
+    rows = table(spark, d, "articles")
+    if any(isinstance(c, str) and c == "body" for c in columns):
+        return once(rows, "article_id", "delivered_at", "article_id", *columns)
+    latest = Window.partitionBy("article_id").orderBy(F.desc("delivered_at"))
+    ranked = rows.select("article_id", "delivered_at", *columns).withColumn("_r", F.row_number().over(latest))
+    return ranked.where("_r = 1").drop("_r", "delivered_at")
 
 
 def regions(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """Layout regions, each once, with only the columns needed."""
+    """Layout regions, each once, with only the columns needed; texts are not shuffled."""
+    if not {"lines", "text"} & set(columns):
+        return table(spark, d, "layout_regions").select("region_id", *columns).dropDuplicates(["region_id"])
     return once(table(spark, d, "layout_regions"), "region_id", "ingested_at", "region_id", *columns)
 
 

@@ -219,15 +219,22 @@ def template_build(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-SELECT article_id, fields['Band'] AS band, trim(fields['Lemma']) AS lemma, 'zweimal' AS note, coalesce(fields['Meta'], '') AS meta, nullif(trim(fields['Lemma']), '') AS lemma_line, chr(10) || body AS body FROM ({r.ARTICLES}) WHERE body IS NOT NULL
+WITH a AS (SELECT *, article_id % 5 = 0 AS cut_off, article_id % 5 = 1 AS bare FROM ({r.ARTICLES}) WHERE body IS NOT NULL),
+w AS (SELECT *, CASE WHEN bare THEN body ELSE 'davor' || chr(10) || '{{{{Artikel' || chr(10) || '|Band=' || (fields['Band']) || chr(10) || '|Notiz=einmal' || chr(10) || '|Lemma= ' || coalesce(fields['Lemma'], '') || ' ' || chr(10) || '|Meta=' || coalesce(fields['Meta'], '') || chr(10) || '|Notiz=zweimal' ||
+  CASE WHEN cut_off THEN '' ELSE chr(10) || '}}}}' END || chr(10) || chr(10) || body END AS file FROM a)
+SELECT article_id, CASE WHEN NOT bare THEN fields['Band'] END AS band, CASE WHEN NOT bare THEN trim(coalesce(fields['Lemma'], '')) END AS lemma, CASE WHEN NOT bare THEN 'zweimal' END AS note, CASE WHEN bare THEN '' ELSE coalesce(fields['Meta'], '') END AS meta,
+  CASE WHEN NOT bare THEN nullif(trim(fields['Lemma']), '') END AS lemma_line, CASE WHEN bare OR cut_off THEN file ELSE chr(10) || body END AS body FROM w
 """)
 def template_fields(spark: SparkSession, d: str) -> DataFrame:
-    """Fields and body parsed from an article file built from the fields; one field comes twice."""
+    """Fields and body parsed from article files built from the fields. One field comes twice; of five files
+    one has a block that does not end and one has none."""
     f = F.col("fields")
-    empty = F.lit("")
-    text = F.concat(F.lit("davor\n{{Artikel\n|Band="), f["Band"], F.lit("\n|Notiz=einmal\n|Lemma= "), F.coalesce(f["Lemma"], empty), F.lit(" \n|Meta="), F.coalesce(f["Meta"], empty), F.lit("\n|Notiz=zweimal\n}}\n\n"), "body")
+    empty, k = F.lit(""), F.col("article_id") % 5
+    block = F.concat(F.lit("davor\n{{Artikel\n|Band="), f["Band"], F.lit("\n|Notiz=einmal\n|Lemma= "), F.coalesce(f["Lemma"], empty), F.lit(" \n|Meta="), F.coalesce(f["Meta"], empty), F.lit("\n|Notiz=zweimal"), F.when(k == 0, "\n\n").otherwise("\n}}\n\n"))
+    text = F.when(k == 1, F.col("body")).otherwise(F.concat(block, "body"))
     files = r.latest_articles(spark, d, "fields", "body").where("body is not null").select("article_id", text.alias("file"), F.col("body").alias("orig"))
-    # The line end at the end of a file opens no line, so it is given back for the comparison.
     rows = parsed(files, "file")
-    body = F.when(F.col("orig").endswith("\n") | (F.col("orig") == ""), F.concat("body", F.lit("\n"))).otherwise(F.col("body"))
+    # The line end at the end of a file opens no line, so it is given back for the comparison where the body is what
+    # follows the block; the body of other files is the whole text.
+    body = F.when((F.col("article_id") % 5 > 1) & (F.col("orig").endswith("\n") | (F.col("orig") == "")), F.concat("body", F.lit("\n"))).otherwise(F.col("body"))
     return rows.select("article_id", F.col("fields")["Band"].alias("band"), F.col("fields")["Lemma"].alias("lemma"), F.col("fields")["Notiz"].alias("note"), fa.meta_of(F.col("block")).alias("meta"), fa.lemma_of(F.col("block")).alias("lemma_line"), body.alias("body"))
