@@ -13,12 +13,13 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plafond.llm import repeated
 from plafond.llm.canonical import canonical
 from plafond.llm.repeated import line_key, one_place
+from plafond.operators.slices import last_before
 from plafond.session import broadcast_if_small, cut
 
 #: Words and word pairs that are sent to the workers as known, the most frequent of the trusted texts. All others go
@@ -429,6 +430,7 @@ class Reader:
 
     def read(self, page: Page) -> Iterator[tuple]:
         maybe = self.known.maybe if self.known.bits else self.known.usual.__contains__
+        memo, pairs = self.memo, self.pairs
         for k, kinds in enumerate(page.kinds):
             for i, kind in enumerate(kinds):
                 if kind == "furniture":
@@ -465,18 +467,18 @@ class Reader:
                     last -= 1
                     opens[at] = True
                     yield ("open", rid, no, page.rows[at[0]][0], at[1] + 1, len(a), a, b, ab, f"{a} {b}", None, None)
-            info = [self.token(t) for t in tokens]
+            info = [memo.get(t) or self.token(t) for t in tokens]
             for j in range(first, last):
                 core, _, _, fine = info[j]
                 if not fine:
                     yield ("word", rid, no, None, None, None, core, None, None, None, info[j - 1][0] if j else None, info[j + 1][0] if j + 1 < len(info) else None)
-            for j in range(len(tokens) - 1):
-                a, _, behind, fine_a = info[j]
-                b, before, _, fine_b = info[j + 1]
+            a, _, behind, fine_a = info[0]
+            for b, before, next_behind, fine_b in info[1:]:
                 if behind and before and a and b:
                     ab = a + b
-                    if (not (fine_a and fine_b) and ab.isalpha()) or (maybe(ab) and f"{a} {b}" not in self.pairs):
+                    if (maybe(ab) and f"{a} {b}" not in pairs) if fine_a and fine_b else (ab.isalpha() or maybe(ab)):
                         yield ("pair", rid, no, None, None, None, a, b, ab, f"{a} {b}", None, None)
+                a, behind, fine_a = b, next_behind, fine_b
 
 
 def chunk_inputs(regions: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -485,8 +487,7 @@ def chunk_inputs(regions: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFr
     titles = rows.where(F.col("label").isin("Section-header", "SectionHeader")).select("volume", "chunk", "page", "pos", F.explode("lines").alias("t")).where(F.col("t").contains(",") | F.col("t").rlike(r"\(Band [^)]*\)\s*\z"))
     last = titles.groupBy("volume", "chunk").agg(F.max(F.struct("page", "pos", "t")).alias("m")).select("volume", "chunk", F.col("m.t").alias("t"))
     chunks = rows.select("volume", "chunk").distinct().join(last, ["volume", "chunk"], "left")
-    before = Window.partitionBy("volume").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunks.select("volume", "chunk", F.last("t", ignorenulls=True).over(before).alias("title")).where("title is not null")
+    carried = last_before(chunks, ["volume"], "chunk", "t").select("volume", "chunk", F.col("_before").alias("title")).where("title is not null")
     nothing = [F.lit(None).cast("bigint").alias("region_id"), F.lit(None).cast("int").alias("line_no")]
     other = gone.select("volume", "chunk", "region_id", "line_no", F.lit(None).cast("string").alias("title")).unionByName(carried.select("volume", "chunk", *nothing, "title"))
     return rows.where(F.size("lines") > 0), other
