@@ -10,8 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only if its size, as the optimiser knows it from files, stays at or below this.
-BROADCAST_BYTES = 16 << 20
+#: A side of a join is broadcast only if its size, as the optimiser knows it from (compressed) files, stays at or below
+#: this. In memory that is some tens of MB.
+BROADCAST_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
