@@ -218,7 +218,7 @@ def _runs(line: str) -> Iterator[tuple[bool, list[str]]]:
 
 def canonical(line: str, words: Trie | Told | None = None) -> str:
     """The consistent form of a line. Idempotent; a line of plain characters is returned as it is."""
-    if not _ODD.search(line):
+    if line.isascii() or not _ODD.search(line):
         return line
     out = "".join(_word(units, words) if is_word else _table(units[0]) for is_word, units in _runs(line))
     return unicodedata.normalize("NFC", out) if any(unicodedata.combining(ch) for ch in out) else out

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -157,7 +158,29 @@ def times_needed(word: str, entry: str, places: int = 1) -> tuple[float, float]:
 # --------------------------------------------------------------------------- words of the trusted texts
 
 
-_RUN = re.compile(r"[\n.,;:!?()\[\]|„“”\"'»«/=]+")
+#: Characters that end a run of neighbouring words.
+_MARKS = "\n.,;:!?()[]|„“”\"'»«/="
+_RUN = re.compile(f"[{re.escape(_MARKS)}]+")
+
+
+def _spaced(text: str, dash: bool) -> str:
+    """The words of a text with single spaces around them; marks are words of their own, dashes are spaces if ``dash``."""
+    out = fold(text).replace("-", " ") if dash else fold(text)
+    for m in _MARKS:
+        if m in out:
+            out = out.replace(m, " \x01 ")
+    return f" {' '.join(out.split())} "
+
+
+def finder(pairs: Iterable[str]) -> Callable[[str, bool], Iterator[str]]:
+    """Finds every occurrence of the given pairs of neighbouring words in a text, in one pass over it."""
+    automaton = ahocorasick.Automaton()
+    for p in pairs:
+        automaton.add_word(f" {p} ", p)
+    if not len(automaton):
+        return lambda text, dash: iter(())
+    automaton.make_automaton()
+    return lambda text, dash: (p for _, p in automaton.iter(_spaced(text, dash)))
 
 
 def trusted_texts(articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> DataFrame:
@@ -221,48 +244,58 @@ def known_words(single: DataFrame) -> Known:
     return Known(usual, bloom_of(single, n) if n > len(usual) else None)
 
 
-def _counted(texts: DataFrame, known: Broadcast | None) -> DataFrame:
-    """word, n: words of the texts, or pairs of neighbouring words that together may be a trusted word.
+def _counted(texts: DataFrame, each: Callable[[], Callable[[str], Iterable[str]]], name: str) -> DataFrame:
+    """name, n: how often each string comes out of the texts; ``each`` makes the function that takes them from a text.
 
     Counted within each partition first; a full counter is emitted and begun anew, so memory is bounded.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
-        usual, maybe = (known.value.usual, known.value.maybe if known.value.bits else None) if known else (set(), None)
+        taken = each()
 
         def flush() -> pd.DataFrame:
-            out = pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+            out = pd.DataFrame({name: list(counts), "n": list(counts.values())})
             counts.clear()
             return out
 
         for pdf in batches:
             for t in pdf["t"].tolist():
-                for part in _RUN.split(fold(t)):
-                    words = part.replace("-", " ").split()
-                    if known is None:
-                        counts.update(words)
-                    elif maybe:
-                        counts.update(f"{a} {b}" for a, b in zip(words, words[1:]) if maybe(a + b))
-                    elif len(words) > 1:
-                        counts.update(f"{a} {b}" for a, b in zip(words, words[1:]) if a + b in usual)
+                counts.update(taken(t))
             if len(counts) > 300_000:
                 yield flush()
         if counts:
             yield flush()
 
-    return texts.mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.mapInPandas(run, f"{name} string, n bigint").groupBy(name).agg(F.sum("n").alias("n"))
+
+
+def _neighbours(text: str, dash: bool) -> Iterator[tuple[str, str]]:
+    for part in _RUN.split(fold(text)):
+        words = part.replace("-", " ").split() if dash else part.split()
+        yield from zip(words, words[1:])
 
 
 def trusted_words(texts: DataFrame) -> DataFrame:
     """word, n of the trusted texts, folded. Words with other characters than plain Latin letters are left out: they
     may be look-alikes."""
-    return _counted(texts, None).where(F.col("word").rlike(r"\A[a-zäöü]+\z"))
+    return _counted(texts, lambda: lambda t: _spaced(t, True).split(), "word").where(F.col("word").rlike(r"\A[a-zäöü]+\z"))
 
 
 def trusted_pairs(texts: DataFrame, known: Broadcast) -> DataFrame:
-    """pair, n of neighbouring words that together are a trusted word (or, rarely, are taken for one)."""
-    return _counted(texts, known).withColumnRenamed("word", "pair")
+    """pair, n of neighbouring words that together are a trusted word (or, rarely, are taken for one).
+
+    If the workers know all words, the pairs that can be are the places where a word falls into two of them.
+    """
+
+    def each() -> Callable[[str], Iterable[str]]:
+        words = known.value
+        if words.bits is None:
+            find = finder(f"{w[:i]} {w[i:]}" for w in words.usual for i in range(1, len(w)) if w[:i] in words.usual and w[i:] in words.usual)
+            return lambda t: find(t, True)
+        return lambda t: (f"{a} {b}" for a, b in _neighbours(t, True) if words.maybe(a + b))
+
+    return _counted(texts, each, "pair")
 
 
 # --------------------------------------------------------------------------- lines in reading order
@@ -692,26 +725,17 @@ def in_context(met: DataFrame, judged: DataFrame, texts: DataFrame) -> DataFrame
     asked = asked.select("region_id", "line_no", "a", "o.score", "o.entry", F.explode(F.array(F.concat_ws(" ", "left", "o.entry"), F.concat_ws(" ", "o.entry", "right"))).alias("two"))
 
     asked = cut(asked)
-    wanted = asked.select("two").distinct()
+    wanted = asked.select("two").where(F.col("two").contains(" ")).distinct()  # at a line's ends a neighbour is missing
     few = wanted.limit(PAIRS_ASKED + 1).collect()
-    only = {r[0] for r in few} if len(few) <= PAIRS_ASKED else None
+    only = met.sparkSession.sparkContext.broadcast([r[0] for r in few] if len(few) <= PAIRS_ASKED else None)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
-        for pdf in batches:
-            for t in pdf["t"].tolist():
-                for part in _RUN.split(fold(t)):
-                    words = part.split()
-                    pairs = map(" ".join, zip(words, words[1:]))
-                    counts.update(pairs if only is None else filter(only.__contains__, pairs))
-            if len(counts) > 300_000:
-                yield pd.DataFrame(list(counts.items()), columns=["two", "n"])
-                counts.clear()
-        if counts:
-            yield pd.DataFrame(list(counts.items()), columns=["two", "n"])
+    def each() -> Callable[[str], Iterable[str]]:
+        if only.value is not None:
+            find = finder(only.value)
+            return lambda t: find(t, False)
+        return lambda t: (f"{a} {b}" for a, b in _neighbours(t, False))
 
-    counted = texts.mapInPandas(run, "two string, n bigint")
-    beside = counted.join(wanted, "two", "left_semi").groupBy("two").agg(F.sum("n").alias("n"))
+    beside = _counted(texts, each, "two").join(wanted, "two", "left_semi")
     seen = asked.join(beside, "two", "left").groupBy("region_id", "line_no", "a", "entry", "score").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
     return seen.groupBy("region_id", "line_no", F.col("a").alias("wrong")).agg(F.min(F.struct((-F.col("n")).alias("n"), "score", "entry")).alias("m")).select("region_id", "line_no", "wrong", F.col("m.entry").alias("entry"))
 
@@ -733,6 +757,8 @@ def mended(token: str, wrong: str, entry: str) -> str:
 
 def mend_paragraph(text: str, fixes: list[tuple[str, str]]) -> str:
     """A paragraph with all its misread words put right: first words with a stray space, then single words."""
+    if not fixes:
+        return text
     tokens = text.split(" ")
     cores = [_clean(t)[0] for t in tokens]
     pairs = {w for w, _ in fixes if " " in w}

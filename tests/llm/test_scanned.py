@@ -161,3 +161,22 @@ def test_rare_misreadings_in_two_places(spark, tables):
     articles = spark.createDataFrame([("Das Kirchenschiff ist hoch. " * 60,)], "body string")
     empty = [t.limit(0) for t in tables]
     assert [tuple(r)[2:] for r in s.scan_cases(regions, articles, *empty[2:]).collect()] == [("misread", "klrchcnschiff", "kirchenschiff")]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=2), min_size=2, max_size=6), st.text(alphabet="ab -.,\n", max_size=60), st.booleans())
+def test_pairs_are_found_as_by_looking_at_neighbours(words, text, dash):
+    pairs = {f"{a} {b}" for a, b in zip(words, words[1:])}
+    want = sorted(p for a, b in s._neighbours(text, dash) if (p := f"{a} {b}") in pairs)
+    assert sorted(s.finder(pairs)(text, dash)) == want
+    assert list(s.finder([])(text, dash)) == []
+
+
+def test_neighbours_choose_between_candidates(spark, tables):
+    """A word with two entries one place away is mended by what stands beside it, not by what is more frequent."""
+    body = "Der Saal ist hoch. " * 300 + "Am Tor steht die Säule. Die Säule trägt. " * 120 + "Die Seele schwebt. Eine Seele steigt. " * 60
+    regions = [(1, "Band01", 1, 1, "Text", 0, ["Am Tor steht die Sänle und", "Sänle trägt viel"], None)]
+    articles = spark.createDataFrame([(body + "Die Sähle und. " * 250,)], "body string")
+    empty = [t.limit(0) for t in tables]
+    got = s.paragraphs(spark.createDataFrame(regions, REGION), articles, *empty[2:]).collect()
+    assert [r.text for r in got] == ["Am Tor steht die Säule und Säule trägt viel"]
