@@ -22,6 +22,7 @@ def meta_of(text: Column) -> Column:
 def template_block(band: Column, chunk: Column, page: Column, page_from: Column, page_to: Column, lemma: Column, kind: Column, place: Column, before: Column, after: Column, authors: Column) -> Column:
     """The metadata block of an article; nulls give empty values, each author a numbered line."""
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    # The template's field names, in its order.
     fields = [("Band", first_number(band)), ("Chunk", chunk), ("Chunkseite", page), ("Originalseitenvon", page_from), ("Originalseitenbis", page_to), ("Lemma", lemma), ("Typ", kind), ("Ort", place), ("davor", before), ("danach", after)]
     head = F.array(F.lit("{{Artikel"), *[F.concat(F.lit(f"|{k}="), text(v)) for k, v in fields])
     named = F.transform(F.coalesce(authors, F.array().cast("array<string>")), lambda x, i: F.concat(F.lit("|AutorIn"), (i + 1).cast("string"), F.lit("="), text(x)))
