@@ -293,8 +293,10 @@ def canonical_lines(lines: DataFrame, words: DataFrame, line: str = "line", rows
 
     A null line stays null and is not changed; an empty one is not changed. Only lines with a character outside
     the plain set reach Python (a JVM filter). With up to ``rows`` words nothing is shuffled; a larger vocabulary is
-    looked up for the distinct words of these lines that mix scripts. All other columns pass through as they are.
+    looked up for the distinct words of these lines that mix scripts. All other columns pass through as they are; one
+    that is named ``changed`` is replaced.
     """
+    lines = lines.drop("changed")
     is_odd = F.coalesce(odd(F.col(line)), F.lit(False))
     plain = lines.where(~is_odd).withColumn("changed", F.lit(False))
     schema = lines.schema.simpleString()[7:-1] + ",changed:boolean"

@@ -17,6 +17,8 @@ from plafond.session import broadcast_if_small, cut
 
 #: A line is boilerplate from this share of its volume's pages on, and from this number of pages on.
 SHARE, LEAST_PAGES = 0.1, 6
+#: Share of the required pages on which a line's plain spelling must stand by itself; misread ones are added to it.
+PLAIN = 0.25
 #: Lines with fewer letters never count; nor do lines of regions with these labels.
 LEAST_LETTERS = 5
 HEADINGS = ["Section-header", "SectionHeader"]
@@ -190,11 +192,11 @@ def repeated_blocks(lines: DataFrame, pages: DataFrame) -> DataFrame:
     """volume, block (array of line hashes), pages_with: blocks that are frequent in some part of a volume.
 
     Suffix arrays are built over all lines of a volume's PART chunks, so a hot volume is many groups and memory is
-    bounded by the lines of so many pages. A line that by itself stands on half the required pages of its volume
-    has, in one part at least, that share of the part's pages; so every such line comes out of some part, and none
-    is lost by leaving out what is rare in a part. Only numbers are shuffled.
+    bounded by the lines of so many pages. A line that by itself stands on a share of its volume's pages has, in one
+    part at least, that share of the part's pages; so every line with PLAIN of the required pages comes out of some
+    part, and none is lost by leaving out what is rare in a part. Only numbers are shuffled.
     """
-    share = pages.select("volume", (_need(F.col("pages")) / 2 / F.col("pages")).alias("share"))
+    share = pages.select("volume", (_need(F.col("pages")) * PLAIN / F.col("pages")).alias("share"))
     rows = lines.join(broadcast_if_small(share), "volume").select("volume", "chunk", "page", "pos", "region_id", "line_no", "h", "share")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -210,16 +212,16 @@ def repeated_blocks(lines: DataFrame, pages: DataFrame) -> DataFrame:
 def line_classes(lines: DataFrame, blocks: DataFrame, pages: DataFrame) -> DataFrame:
     """volume, h, class: the keys of a volume that may stand for a boilerplate line, and their class (a hash).
 
-    A class is a key that by itself stands on at least half the required pages, with all keys of the volume that
+    A class is a key that by itself stands on at least PLAIN of the required pages, with all keys of the volume that
     differ from it in one misread place; a key goes to its most frequent such centre. There are at most
-    (lines per page) / (SHARE / 2) centres per volume; they are among the lines of the blocks. Other keys find them
+    (lines per page) / (SHARE * PLAIN) centres per volume; they are among the lines of the blocks. Other keys find them
     by an equi-join on their first or last letters: one misread place leaves one end whole, so no pair is missed
     and no pairs are emitted within a group.
     """
     some = blocks.select("volume", F.explode("block").alias("h")).distinct()
     on = lines.join(broadcast_if_small(some), ["volume", "h"])
     counts = on.groupBy("volume", "h").agg(F.count_distinct("chunk", "page").alias("n"), F.min("key").alias("centre"))
-    centres = cut(counts.join(broadcast_if_small(pages), "volume").where(F.col("n") * 2 >= _need(F.col("pages"))).select("volume", "centre", F.col("h").alias("class"), "n"))
+    centres = cut(counts.join(broadcast_if_small(pages), "volume").where(F.col("n") >= _need(F.col("pages")) * PLAIN).select("volume", "centre", F.col("h").alias("class"), "n"))
 
     def ends(key: Column, n: int) -> Column:
         return F.array(F.concat(F.lit(f"a{n}"), F.substring(key, 1, n)), F.concat(F.lit(f"z{n}"), F.substring(key, -n, n)))

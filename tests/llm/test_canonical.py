@@ -91,4 +91,6 @@ def test_frames(spark):
     assert got == {("region", 1, 2), ("region", 4, 1), ("article", 1, 2)}
     lines = spark.createDataFrame([("x\xa0y", 1), (None, 2), ("", 3)], "line string, line_no int")
     assert [tuple(r) for r in c.canonical_lines(lines, words.limit(0)).orderBy("line_no").collect()] == [("x y", 1, True), (None, 2, False), ("", 3, False)]
+    clash = lines.withColumn("changed", c.F.lit("clash"))
+    assert [r.changed for r in c.canonical_lines(clash, words).orderBy("line_no").collect()] == [True, False, False]
     assert c.found(regions.limit(0), articles.limit(0), words).count() == 0

@@ -113,3 +113,15 @@ def test_repeated_deliveries_count_once(spark):
     rows = volume("A", 60, 15)
     df = spark.createDataFrame(rows + rows + rows, SCHEMA)
     assert r.found(df).count() == 0
+
+
+def test_a_line_scattered_over_misread_spellings(spark):
+    """No spelling stands on half the required pages, but together they are a tenth of all pages."""
+    said = ["Gedruckt mit Unterstützung", *(f"Gedruckt mit Unterst{x}tzung" for x in "uoae")]
+    rows = []
+    for p in range(100):
+        lines = [f"Zeile {chr(97 + p % 26)}{chr(97 + p // 26)} steht allein"]
+        if p % 10 == 0:
+            lines.append(said[0] if p // 10 < 4 else said[1 + p // 10 % 4])
+        rows.append((p + 1, "A", p // 25 + 1, p % 25 + 1, "Text", 0, lines, "", None))
+    assert {tuple(x) for x in r.found(spark.createDataFrame(rows, SCHEMA)).collect()} == {(p + 1, 2) for p in range(0, 100, 10)}
