@@ -21,7 +21,8 @@ def _path():
 def read_wiki_tree(spark: SparkSession, root: str, volume: str | None = None) -> DataFrame:
     """Every ``*.wiki`` file under a root as one row: path, file_stem, folder, text.
 
-    A volume restricts the scan by a predicate on the file path, which prunes files before they are read.
+    A volume restricts the scan by a predicate on the file path, which prunes files before they are read. Files of no
+    bytes give no row.
     """
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.wiki").text(root, wholetext=True)
     rows = raw.select(_path().alias("path"), F.col("value").alias("text")).dropDuplicates(["path"])
