@@ -160,7 +160,7 @@ def printed_page(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH v AS (SELECT source AS moving FROM documents GROUP BY 1 ORDER BY count(*), 1 LIMIT 1), l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
+WITH v AS (SELECT source AS moving FROM documents WHERE source IS NOT NULL GROUP BY 1 ORDER BY count(*), 1 LIMIT 1), l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
 p AS (SELECT doc_id, source, line, nullif(regexp_extract(line, '^<!-- citation-page-(?:top|bottom): \S+ p([0-9]+) -->', 1), '')::INTEGER AS n FROM l)
 SELECT doc_id, n AS page_before, CASE WHEN source = moving AND n >= 14 THEN n + 2 ELSE n END::INTEGER AS page_after, (source = moving AND n >= 14) AS changed FROM p, v WHERE n IS NOT NULL
 """)
@@ -168,7 +168,7 @@ def page_shift(spark: SparkSession, d: str) -> DataFrame:
     """Citation pages of one volume, that with the fewest documents, moved by 2 from page 14 on, every citation
     line of every document."""
     docs = table(spark, d, "documents")
-    volume = docs.groupBy("source").count().orderBy("count", "source").first()
+    volume = docs.where("source is not null").groupBy("source").count().orderBy("count", "source").first()
     each = lines.exploded(docs.where("text is not null"), ["doc_id", "source"], "text")
     n = fk.extract(F.col("line"), r"\A<!-- citation-page-(?:top|bottom): \S+ p([0-9]+) -->").cast("int")
     moved = (F.col("source") == (volume["source"] if volume else None)) & (F.col("n") >= 14)
