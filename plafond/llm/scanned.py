@@ -23,10 +23,11 @@ from plafond.llm.repeated import line_key, one_place
 from plafond.operators.slices import last_before
 from plafond.session import broadcast_if_small, cut
 
-#: Words and word pairs that are sent to the workers as known, the most frequent of the trusted texts. All others go
-#: through joins, with the same results; a Bloom filter over all trusted words tells which neighbours may be one word.
-USUAL_WORDS, USUAL_PAIRS = 30_000, 20_000
-#: Bits of the Bloom filter per word, and its most bits. Beyond them more neighbours than needed go through the joins.
+#: Words that are sent to the workers as known, the most frequent of the trusted texts, and pairs of neighbours that are
+#: counted there by an automaton. All others go through joins, with the same results; a Bloom filter over all tells
+#: which neighbours may be one word, and which pairs may be asked for.
+USUAL_WORDS, USUAL_PAIRS = 30_000, 100_000
+#: Bits of the Bloom filter per string, and its most bits. Beyond them more strings than needed go through the joins.
 BLOOM_BITS, BLOOM_MOST = 12, 1 << 30
 #: A word outside the trusted texts is a misreading of a similar word that is so many times as frequent: if the two
 #: differ as recognition confuses letters, if a letter is lost, and in any other way.
@@ -42,8 +43,6 @@ SEEN_OFTEN = 8
 SHARD_WORDS = 4_000
 #: Words from this length on may be misread in two places, if both are letters that recognition confuses.
 LONG_WORD = 9
-#: Pairs of neighbours up to which only those asked for are counted in the scan; more are told by a join.
-PAIRS_ASKED = 100_000
 #: Shorter words are not judged: too many others are one place away.
 LEAST_WORD = 3
 
@@ -163,24 +162,24 @@ _MARKS = "\n.,;:!?()[]|„“”\"'»«/="
 _RUN = re.compile(f"[{re.escape(_MARKS)}]+")
 
 
-def _spaced(text: str, dash: bool) -> str:
-    """The words of a text with single spaces around them; marks are words of their own, dashes are spaces if ``dash``."""
-    out = fold(text).replace("-", " ") if dash else fold(text)
+def _spaced(text: str) -> str:
+    """The words of a text with single spaces around them; marks are words of their own, dashes are spaces."""
+    out = fold(text).replace("-", " ")
     for m in _MARKS:
         if m in out:
             out = out.replace(m, " \x01 ")
     return f" {' '.join(out.split())} "
 
 
-def finder(pairs: Iterable[str]) -> Callable[[str, bool], Iterator[str]]:
+def finder(pairs: Iterable[str]) -> Callable[[str], Iterator[str]]:
     """Finds every occurrence of the given pairs of neighbouring words in a text, in one pass over it."""
     automaton = ahocorasick.Automaton()
     for p in pairs:
         automaton.add_word(f" {p} ", p)
     if not len(automaton):
-        return lambda text, dash: iter(())
+        return lambda text: iter(())
     automaton.make_automaton()
-    return lambda text, dash: (p for _, p in automaton.iter(_spaced(text, dash)))
+    return lambda text: (p for _, p in automaton.iter(_spaced(text)))
 
 
 def trusted_texts(articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> DataFrame:
@@ -194,14 +193,14 @@ def trusted_texts(articles: DataFrame, lists: DataFrame, glossary: DataFrame, sa
 
 
 class Known:
-    """What the workers know of the trusted words: the usual ones, and a Bloom filter over the others if there are any."""
+    """A set of strings as the workers know it: the usual ones, and a Bloom filter over all if there are others."""
 
     def __init__(self, usual: Iterable[str], bits: bytes | None = None) -> None:
         self.usual = set(usual)
         self.bits, self.size = bits, 8 * len(bits or b"")
 
     def maybe(self, word: str) -> bool:
-        """True for every trusted word; false for nearly all others."""
+        """True for every string of the set; false for nearly all others."""
         if word in self.usual:
             return True
         if self.bits is None:
@@ -235,13 +234,13 @@ def bloom_of(words: DataFrame, n: int) -> bytes:
     return bytes(out)
 
 
-def known_words(single: DataFrame) -> Known:
-    """The USUAL_WORDS most frequent trusted words, and a filter over all if there are more."""
-    usual = [r[0] for r in single.orderBy(F.desc("n"), "word").limit(USUAL_WORDS).collect()]
-    if len(usual) < USUAL_WORDS:
+def known_of(words: DataFrame, most: int) -> Known:
+    """The ``most`` most frequent strings of (word, n), and a filter over all if there are more."""
+    usual = [r[0] for r in words.orderBy(F.desc("n"), "word").limit(most).collect()]
+    if len(usual) < most:
         return Known(usual)
-    n = single.count()
-    return Known(usual, bloom_of(single, n) if n > len(usual) else None)
+    n = words.count()
+    return Known(usual, bloom_of(words, n) if n > len(usual) else None)
 
 
 def _counted(texts: DataFrame, each: Callable[[], Callable[[str], Iterable[str]]], name: str) -> DataFrame:
@@ -270,32 +269,28 @@ def _counted(texts: DataFrame, each: Callable[[], Callable[[str], Iterable[str]]
     return texts.mapInPandas(run, f"{name} string, n bigint").groupBy(name).agg(F.sum("n").alias("n"))
 
 
-def _neighbours(text: str, dash: bool) -> Iterator[tuple[str, str]]:
+def _neighbours(text: str) -> Iterator[str]:
     for part in _RUN.split(fold(text)):
-        words = part.replace("-", " ").split() if dash else part.split()
-        yield from zip(words, words[1:])
+        words = part.replace("-", " ").split()
+        yield from map(" ".join, zip(words, words[1:]))
 
 
 def trusted_words(texts: DataFrame) -> DataFrame:
     """word, n of the trusted texts, folded. Words with other characters than plain Latin letters are left out: they
     may be look-alikes."""
-    return _counted(texts, lambda: lambda t: _spaced(t, True).split(), "word").where(F.col("word").rlike(r"\A[a-zäöü]+\z"))
+    return _counted(texts, lambda: lambda t: _spaced(t).split(), "word").where(F.col("word").rlike(r"\A[a-zäöü]+\z"))
 
 
-def trusted_pairs(texts: DataFrame, known: Broadcast) -> DataFrame:
-    """pair, n of neighbouring words that together are a trusted word (or, rarely, are taken for one).
-
-    If the workers know all words, the pairs that can be are the places where a word falls into two of them.
-    """
+def pair_counts(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """pair, n: how often the pairs asked for (``pair``, distinct) stand side by side in the texts; others give no row."""
+    known = texts.sparkSession.sparkContext.broadcast(known_of(asked.select(F.col("pair").alias("word"), F.lit(1).alias("n")), USUAL_PAIRS))
 
     def each() -> Callable[[str], Iterable[str]]:
-        words = known.value
-        if words.bits is None:
-            find = finder(f"{w[:i]} {w[i:]}" for w in words.usual for i in range(1, len(w)) if w[:i] in words.usual and w[i:] in words.usual)
-            return lambda t: find(t, True)
-        return lambda t: (f"{a} {b}" for a, b in _neighbours(t, True) if words.maybe(a + b))
+        pairs = known.value
+        return finder(pairs.usual) if pairs.bits is None else lambda t: filter(pairs.maybe, _neighbours(t))
 
-    return _counted(texts, each, "pair")
+    counted = _counted(texts, each, "pair")
+    return counted.join(broadcast_if_small(asked), "pair", "left_semi")
 
 
 # --------------------------------------------------------------------------- lines in reading order
@@ -443,8 +438,8 @@ def _too_short(core: str) -> bool:
 class Reader:
     """Turns pages into cases that are certain and sites that need a look at the vocabulary."""
 
-    def __init__(self, known: Known, pairs: Iterable[str]) -> None:
-        self.known, self.pairs = known, set(pairs)
+    def __init__(self, known: Known) -> None:
+        self.known = known
         self.memo: dict[str, tuple[str, bool, bool, bool]] = {}
 
     def token(self, token: str) -> tuple[str, bool, bool, bool]:
@@ -463,7 +458,7 @@ class Reader:
 
     def read(self, page: Page) -> Iterator[tuple]:
         maybe = self.known.maybe if self.known.bits else self.known.usual.__contains__
-        memo, pairs = self.memo, self.pairs
+        memo = self.memo
         for k, kinds in enumerate(page.kinds):
             for i, kind in enumerate(kinds):
                 if kind == "furniture":
@@ -496,7 +491,7 @@ class Reader:
                 a, _, _, fine_a = self.token(end)
                 b, _, _, fine_b = self.token(following[0])
                 ab = a + b
-                if not (fine_a and fine_b) or (maybe(ab) and f"{a} {b}" not in self.pairs):
+                if not (fine_a and fine_b) or maybe(ab):
                     last -= 1
                     opens[at] = True
                     yield ("open", rid, no, page.rows[at[0]][0], at[1] + 1, len(a), a, b, ab, f"{a} {b}", None, None)
@@ -509,7 +504,7 @@ class Reader:
             for b, before, next_behind, fine_b in info[1:]:
                 if behind and before and a and b:
                     ab = a + b
-                    if (maybe(ab) and f"{a} {b}" not in pairs) if fine_a and fine_b else (ab.isalpha() or maybe(ab)):
+                    if maybe(ab) or (not (fine_a and fine_b) and ab.isalpha()):
                         yield ("pair", rid, no, None, None, None, a, b, ab, f"{a} {b}", None, None)
                 a, behind, fine_a = b, next_behind, fine_b
 
@@ -526,14 +521,15 @@ def chunk_inputs(regions: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFr
     return rows.where(F.size("lines") > 0), other
 
 
-def sites(regions: DataFrame, gone: DataFrame, known: Broadcast, pairs: Broadcast) -> DataFrame:
+def sites(regions: DataFrame, gone: DataFrame, known: Broadcast) -> DataFrame:
     """Cases and sites of all pages. One shuffle by (volume, chunk); a group is at most one chunk of pages."""
     rows, other = chunk_inputs(regions, gone)
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table([pa.array([], t) for t in SITE_TYPES], names=SITE_COLUMNS)
-        out = [s for p in pages_of(left, right) for s in _reader(known, pairs).read(p)]
+        reader = _reader(known.value)
+        out = [s for p in pages_of(left, right) for s in reader.read(p)]
         columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(SITE_TYPES[2:]), SITE_TYPES[2:])]
         key = [pa.array([left[c][0].as_py()] * len(out), t) for c, t in zip(SITE_COLUMNS[:2], SITE_TYPES[:2])]
         return pa.table(key + columns, names=SITE_COLUMNS)
@@ -541,16 +537,15 @@ def sites(regions: DataFrame, gone: DataFrame, known: Broadcast, pairs: Broadcas
     return rows.groupBy("volume", "chunk").cogroup(other.groupBy("volume", "chunk")).applyInArrow(read, SITE_SCHEMA)
 
 
-_READERS: dict[tuple[int, int], Reader] = {}
+_READERS: dict[int, Reader] = {}
 
 
-def _reader(known: Broadcast, pairs: Broadcast) -> Reader:
+def _reader(known: Known) -> Reader:
     """One reader per worker and vocabulary, so that its memory of tokens lives on from group to group."""
-    key = (id(known.value), id(pairs.value))
-    if key not in _READERS:
+    if id(known) not in _READERS:
         _READERS.clear()
-        _READERS[key] = Reader(known.value, pairs.value)
-    return _READERS[key]
+        _READERS[id(known)] = Reader(known)
+    return _READERS[id(known)]
 
 
 # --------------------------------------------------------------------------- judging words
@@ -612,15 +607,14 @@ def _parts_known(words: DataFrame, known: DataFrame) -> DataFrame:
     return hit.groupBy("word").agg(F.min(F.coalesce("k", F.length("part") < LEAST_WORD)).alias("all")).where("all").select("word")
 
 
-def judged_words(found: DataFrame, single: DataFrame, pairs: DataFrame) -> DataFrame:
-    """word, n_known, entry, others for every text that a site asks about: its frequency if known, or what it is most
+def judged_words(found: DataFrame, single: DataFrame) -> DataFrame:
+    """word, n_known, entry, others for every word that a site asks about: its frequency if known, or what it is most
     likely a misreading of (by score, ties by the alphabet), with all candidates."""
     nothing = [F.lit(None).cast("string").alias("entry"), F.lit(None).cast("array<struct<score:double,entry:string>>").alias("others")]
-    asked = found.select("role", F.explode(F.array(*[F.struct(F.col(c).alias("word"), F.lit(c).alias("part")) for c in ("a", "b", "ab", "pair")])).alias("x")).select("role", "x.*").where("word is not null")
+    asked = found.select("role", F.explode(F.array(*[F.struct(F.col(c).alias("word"), F.lit(c).alias("part")) for c in ("a", "b", "ab")])).alias("x")).select("role", "x.*").where("word is not null")
     # A joined word counts as an occurrence only where the text itself has it, broken by a hyphen.
-    occurs = F.when(F.col("part") == "pair", 0).when((F.col("part") == "ab") & (F.col("role") != "hyphen"), 0).when(F.col("role") == "pair", 0).otherwise(1)
-    words = cut(asked.groupBy("word", (F.col("part") == "pair").alias("two")).agg(F.sum(occurs).alias("seen")))
-    seen = words.where("not two").join(single, "word", "left")
+    occurs = F.when((F.col("part") == "ab") & (F.col("role") != "hyphen"), 0).when(F.col("role") == "pair", 0).otherwise(1)
+    seen = cut(asked.groupBy("word").agg(F.sum(occurs).alias("seen")).join(single, "word", "left"))
     known = seen.where("n is not null").select("word", F.col("n").alias("n_known"), *nothing)
     unknown = cut(seen.where("n is null and seen > 0").select("word", F.col("seen").alias("n")))
     whole = _parts_known(unknown, single)
@@ -633,21 +627,28 @@ def judged_words(found: DataFrame, single: DataFrame, pairs: DataFrame) -> DataF
     twice = candidates(left, may_be.where(F.length("word") >= LONG_WORD - 2), 2, shards)
     best = cut(once.unionByName(twice).groupBy("word").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("score"), "entry"))).alias("others")))
     bad = best.select("word", F.lit(None).cast("bigint").alias("n_known"), F.col("others")[0]["entry"].alias("entry"), F.col("others").cast("array<struct<score:double,entry:string>>").alias("others"))
-    two = words.where("two").select("word").join(pairs, F.col("word") == F.col("pair")).select("word", F.col("n").alias("n_known"), *nothing)
     # Words that only the regions have, often enough and no misreading, are known too.
     own = often.join(bad.select("word"), "word", "left_anti").select("word", F.col("n").cast("bigint").alias("n_known"), *nothing)
-    return known.unionByName(bad).unionByName(own).unionByName(two)
+    return known.unionByName(bad).unionByName(own)
+
 
+def pairs_asked(found: DataFrame, judged: DataFrame) -> DataFrame:
+    """pair: the distinct pairs of neighbours that together are a known word."""
+    two = found.where("pair is not null").select("pair", "ab").distinct()
+    known = judged.where("n_known is not null").select(F.col("word").alias("ab"))
+    return two.join(broadcast_if_small(known), "ab", "left_semi").select("pair")
 
-def cases(found: DataFrame, judged: DataFrame) -> DataFrame:
+
+def cases(found: DataFrame, judged: DataFrame, pairs: DataFrame) -> DataFrame:
     """volume, chunk, region_id, line_no, kind, wrong, entry: every case, with what is wrong and what should stand there.
 
     The sites are read once and looked up by each of their texts; a site without a text gets a key of its own, so
     that nulls do not meet in one task.
     """
-    table = broadcast_if_small(judged.select("word", "n_known", "entry"))
+    words = broadcast_if_small(judged.select("word", "n_known", "entry"))
+    two = broadcast_if_small(pairs.select(F.col("pair").alias("word"), F.col("n").alias("n_known"), F.lit(None).cast("string").alias("entry")))
     rows = found
-    for c in ("a", "b", "ab", "pair"):
+    for c, table in (("a", words), ("b", words), ("ab", words), ("pair", two)):
         key = F.coalesce(F.col(c), F.concat(F.lit("\0"), F.col("region_id").cast("string"), F.lit(" "), F.col("line_no").cast("string")))
         rows = rows.join(table.alias("known"), key == F.col("known.word"), "left").select(*rows.columns, F.col("known.n_known").alias(f"{c}_n"), F.col("known.entry").alias(f"{c}_e"))
     at, none = F.struct("region_id", "line_no"), F.lit(None).cast("string")
@@ -681,33 +682,36 @@ class Scan(NamedTuple):
     gone: DataFrame
     sites: DataFrame
     judged: DataFrame
-    texts: DataFrame
+    #: pair, n of the pairs asked for by the sites and, for the repair, by the contexts
+    pairs: DataFrame
+    contexts: DataFrame | None
 
 
-def scan(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> Scan:
-    """Boilerplate lines, sites, judged words and trusted texts of the regions.
+def scan(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame, context: bool = False) -> Scan:
+    """Boilerplate lines, sites, judged words and counts of pairs; with ``context`` also what stands beside words with
+    several candidates.
 
     Null and empty lines, regions without lines and repeated deliveries do no harm; regions without a volume,
     chunk, page or id are left out; null labels are no Text; an empty table gives no rows. Boilerplate (problem 4)
     is left out before anything else.
     """
-    sc = regions.sparkSession.sparkContext
     gone = cut(repeated.boilerplate(regions).gone.select("volume", "chunk", "region_id", "line_no"))
     texts = trusted_texts(articles, lists, glossary, samples.where("lang = 'de'"))
     single = cut(trusted_words(texts))
-    known = sc.broadcast(known_words(single))
-    pairs = cut(trusted_pairs(texts, known))
-    # Pairs that are certainly two words need no look; those sent save work, the others are told by the joins.
-    certain = pairs.join(single.select(F.col("word"), F.col("n").alias("m")), F.translate("pair", " ", "") == F.col("word")).where(F.col("n") * PAIR_TIMES > F.col("m"))
-    two = sc.broadcast([r[0] for r in certain.select("pair", "n").orderBy(F.desc("n"), "pair").limit(USUAL_PAIRS).collect()])
-    met = cut(sites(regions, gone, known, two))
-    return Scan(gone, met, cut(judged_words(met, single, pairs)), texts)
+    known = regions.sparkSession.sparkContext.broadcast(known_of(single, USUAL_WORDS))
+    met = cut(sites(regions, gone, known))
+    judged = cut(judged_words(met, single))
+    asked = pairs_asked(met, judged)
+    contexts = cut(contexts_of(met, judged)) if context else None
+    if contexts is not None:
+        asked = asked.unionByName(contexts.where(F.col("pair").contains(" ")).select("pair")).distinct()
+    return Scan(gone, met, judged, cut(pair_counts(texts, cut(asked))), contexts)
 
 
 def scan_cases(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> DataFrame:
     """Every hyphen, misread word and piece of furniture of the regions: region_id, line_no, kind, wrong, entry."""
     told = scan(regions, articles, lists, glossary, samples)
-    return cases(told.sites, told.judged).drop("volume", "chunk")
+    return cases(told.sites, told.judged, told.pairs).drop("volume", "chunk")
 
 
 def found(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: DataFrame, samples: DataFrame) -> DataFrame:
@@ -717,26 +721,19 @@ def found(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossary: D
 # --------------------------------------------------------------------------- repair
 
 
-def in_context(met: DataFrame, judged: DataFrame, texts: DataFrame) -> DataFrame:
-    """region_id, line_no, wrong, entry: for single misread words with several candidates, the one that stands most
-    often beside the same neighbours in the trusted texts; equal counts go by the score."""
+def contexts_of(met: DataFrame, judged: DataFrame) -> DataFrame:
+    """region_id, line_no, a, score, entry, pair: each candidate of a misread word that has several, with the word before
+    and the word behind it; without such a neighbour ``pair`` is the candidate alone."""
     several = judged.where(F.size("others") > 1).select(F.col("word").alias("a"), "others")
     asked = met.where("role = 'word'").join(broadcast_if_small(several), "a").select("region_id", "line_no", "a", "left", "right", F.explode("others").alias("o"))
-    asked = asked.select("region_id", "line_no", "a", "o.score", "o.entry", F.explode(F.array(F.concat_ws(" ", "left", "o.entry"), F.concat_ws(" ", "o.entry", "right"))).alias("two"))
+    beside = F.array(F.concat_ws(" ", "left", "o.entry"), F.concat_ws(" ", "o.entry", "right"))
+    return asked.select("region_id", "line_no", "a", "o.score", "o.entry", F.explode(beside).alias("pair"))
 
-    asked = cut(asked)
-    wanted = asked.select("two").where(F.col("two").contains(" ")).distinct()  # at a line's ends a neighbour is missing
-    few = wanted.limit(PAIRS_ASKED + 1).collect()
-    only = met.sparkSession.sparkContext.broadcast([r[0] for r in few] if len(few) <= PAIRS_ASKED else None)
 
-    def each() -> Callable[[str], Iterable[str]]:
-        if only.value is not None:
-            find = finder(only.value)
-            return lambda t: find(t, False)
-        return lambda t: (f"{a} {b}" for a, b in _neighbours(t, False))
-
-    beside = _counted(texts, each, "two").join(wanted, "two", "left_semi")
-    seen = asked.join(beside, "two", "left").groupBy("region_id", "line_no", "a", "entry", "score").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+def in_context(contexts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """region_id, line_no, wrong, entry: for single misread words with several candidates, the one that stands most
+    often beside the same neighbours in the trusted texts; equal counts go by the score."""
+    seen = contexts.join(broadcast_if_small(pairs), "pair", "left").groupBy("region_id", "line_no", "a", "entry", "score").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
     return seen.groupBy("region_id", "line_no", F.col("a").alias("wrong")).agg(F.min(F.struct((-F.col("n")).alias("n"), "score", "entry")).alias("m")).select("region_id", "line_no", "wrong", F.col("m.entry").alias("entry"))
 
 
@@ -782,9 +779,9 @@ def paragraphs(regions: DataFrame, articles: DataFrame, lists: DataFrame, glossa
     misread ones put right, lines reflowed with single spaces. A paragraph whose last word goes on in the next
     Text region takes that region in; ``regions`` names all of them. Regions left without text give no row.
     """
-    told = scan(regions, articles, lists, glossary, samples)
-    chosen = cut(in_context(told.sites, told.judged, told.texts).withColumnRenamed("entry", "better"))
-    fixed = cases(told.sites, told.judged).join(broadcast_if_small(chosen), ["region_id", "line_no", "wrong"], "left").withColumn("entry", F.coalesce("better", "entry"))
+    told = scan(regions, articles, lists, glossary, samples, context=True)
+    chosen = cut(in_context(told.contexts, told.pairs).withColumnRenamed("entry", "better"))
+    fixed = cases(told.sites, told.judged, told.pairs).join(broadcast_if_small(chosen), ["region_id", "line_no", "wrong"], "left").withColumn("entry", F.coalesce("better", "entry"))
     right = fixed.select("volume", "chunk", "region_id", "line_no", "kind", "wrong", "entry")
     none = F.lit(None).cast("string")
     gone = told.gone.select("volume", "chunk", "region_id", "line_no", F.lit("gone").alias("kind"), none.alias("wrong"), none.alias("entry"))

@@ -89,7 +89,7 @@ def test_empty(tables):
 
 @pytest.mark.parametrize("token, looked_at", [("i3s", True), ("ap5is", True), ("lä5st", True), ("sa|nd", True), ("au.ch", True), ("1st", True), ("12", False), ("5er", False), ("12cm", False), ("a1", False), ("b.", False), ("2b3", False)])
 def test_short_words_with_other_characters(token, looked_at):
-    assert s.Reader(s.Known([]), []).token(token)[3] is not looked_at
+    assert s.Reader(s.Known([])).token(token)[3] is not looked_at
 
 
 def test_short_misread_words(spark, tables):
@@ -164,12 +164,11 @@ def test_rare_misreadings_in_two_places(spark, tables):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=2), min_size=2, max_size=6), st.text(alphabet="ab -.,\n", max_size=60), st.booleans())
-def test_pairs_are_found_as_by_looking_at_neighbours(words, text, dash):
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=2), min_size=2, max_size=6), st.text(alphabet="ab -.,\n", max_size=60))
+def test_pairs_are_found_as_by_looking_at_neighbours(words, text):
     pairs = {f"{a} {b}" for a, b in zip(words, words[1:])}
-    want = sorted(p for a, b in s._neighbours(text, dash) if (p := f"{a} {b}") in pairs)
-    assert sorted(s.finder(pairs)(text, dash)) == want
-    assert list(s.finder([])(text, dash)) == []
+    assert sorted(s.finder(pairs)(text)) == sorted(p for p in s._neighbours(text) if p in pairs)
+    assert list(s.finder([])(text)) == []
 
 
 def test_neighbours_choose_between_candidates(spark, tables):
