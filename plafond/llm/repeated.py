@@ -282,13 +282,16 @@ def garbled_lines(told: Repeated) -> DataFrame:
     is up to GARBLED of its length from the line that the block has there.
     """
     steps = F.flatten(F.transform(F.sequence(F.lit(2), F.size("block")), lambda i: F.array(F.struct(F.get("block", i - 2).alias("class"), F.get("block", i - 1).alias("next"), F.lit(1).alias("step")), F.struct(F.get("block", i - 1).alias("class"), F.get("block", i - 2).alias("next"), F.lit(-1).alias("step")))))
-    follows = told.blocks.select("volume", F.explode(steps).alias("s")).select("volume", "s.*").distinct()
-    plain = told.lines.select("volume", F.col("h").alias("next"), "key").join(follows.select("volume", "next").distinct(), ["volume", "next"], "left_semi").groupBy("volume", "next").agg(F.min("key").alias("said"))
-    wanted = cut(follows.join(plain, ["volume", "next"]))
-    expected = told.gone.join(broadcast_if_small(wanted), ["volume", "class"]).select("region_id", (F.col("line_no") + F.col("step")).alias("line_no"), "said").distinct()
-    rest = told.lines.join(told.gone.select("region_id", "line_no"), ["region_id", "line_no"], "left_anti").select("region_id", "line_no", "key")
+    follows = cut(told.blocks.select("volume", F.explode(steps).alias("s")).select("volume", "s.*").distinct())
+    # Places where a block goes on, but no boilerplate line stands: few, as numbers; then what should stand there.
+    at = told.gone.join(broadcast_if_small(follows), ["volume", "class"]).select("volume", "region_id", (F.col("line_no") + F.col("step")).alias("line_no"), "next")
+    open_at = cut(at.join(told.gone.select("region_id", "line_no"), ["region_id", "line_no"], "left_anti"))
+    wanted = open_at.select("volume", "next").distinct()
+    said = cut(told.lines.select("volume", F.col("h").alias("next"), "key").join(broadcast_if_small(wanted), ["volume", "next"], "left_semi").groupBy("volume", "next").agg(F.min("key").alias("said")))
+    expected = open_at.join(broadcast_if_small(said), ["volume", "next"]).select("region_id", "line_no", "said")
     most = F.greatest(F.length("said"), F.length("key")) * GARBLED
-    return rest.join(expected, ["region_id", "line_no"]).where(F.levenshtein("key", "said") <= most).select("region_id", "line_no").distinct()
+    rest = told.lines.select("region_id", "line_no", "key").join(broadcast_if_small(expected), ["region_id", "line_no"])
+    return rest.where(F.levenshtein("key", "said") <= most).select("region_id", "line_no").distinct()
 
 
 def without_boilerplate(regions: DataFrame, deliveries: DataFrame | None = None) -> DataFrame:

@@ -290,7 +290,8 @@ def pair_counts(texts: DataFrame, asked: DataFrame) -> DataFrame:
         return finder(pairs.usual) if pairs.bits is None else lambda t: filter(pairs.maybe, _neighbours(t))
 
     counted = _counted(texts, each, "pair")
-    return counted.join(broadcast_if_small(asked), "pair", "left_semi")
+    # The filter lets others through; the automaton finds nothing else.
+    return counted if known.value.bits is None else counted.join(broadcast_if_small(asked), "pair", "left_semi")
 
 
 # --------------------------------------------------------------------------- lines in reading order
