@@ -35,16 +35,16 @@ def continuity(rows: DataFrame, band: str, order: list[str], start: str, end: st
     volume is compared in slices of it.
     """
     both = slices.neighbours(rows, [band], order, [start, end])
-    before, upto, at = F.col(f"_beside.{start}"), F.col(f"_beside.{end}"), F.col(start)
+    before, upto, at = F.col(f"_before.{start}"), F.col(f"_before.{end}"), F.col(start)
     issue = F.when(before == at, "SAME").when(at < upto, "OVERLAP").when(at > upto + 1, "GAP")
     size = F.when(before == at, F.lit(None)).when(at < upto, upto - at + 1).when(at > upto + 1, at - upto - 1)
-    return both.withColumn("issue", issue).withColumn("size", size.cast("int")).withColumn("inverted", F.col(end) < at).drop("_beside")
+    return both.withColumn("issue", issue).withColumn("size", size.cast("int")).withColumn("inverted", F.col(end) < at).drop("_before", "_behind")
 
 
 def neighbours(rows: DataFrame, band: str, order: list[str], name: str) -> DataFrame:
     """The entries before and after each in its volume; the first of ``order`` is a number."""
-    before = slices.neighbours(rows, [band], order, [name]).withColumn("davor", F.col(f"_beside.{name}")).drop("_beside")
-    return slices.neighbours(before, [band], order, [name], ahead=True).withColumn("danach", F.col(f"_beside.{name}")).drop("_beside")
+    beside = slices.neighbours(rows, [band], order, [name])
+    return beside.withColumn("davor", F.col(f"_before.{name}")).withColumn("danach", F.col(f"_behind.{name}")).drop("_before", "_behind")
 
 
 def last_writer(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:

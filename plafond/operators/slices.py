@@ -14,22 +14,21 @@ def slice_of(order: str, width: int = WIDTH) -> Column:
     return F.floor(F.col(order) / width)
 
 
-def neighbours(rows: DataFrame, entity: list[str], order: list[str], names: list[str], width: int = WIDTH, ahead: bool = False) -> DataFrame:
-    """Adds ``_beside``, a struct of ``names`` from the row before (or after, if ``ahead``) in its entity; null at the end.
+def neighbours(rows: DataFrame, entity: list[str], order: list[str], names: list[str], width: int = WIDTH) -> DataFrame:
+    """Adds ``_before`` and ``_behind``, structs of ``names`` from the rows beside in the entity; null at its ends.
 
-    The first of ``order`` must be a number without nulls; slices are stretches of it. Within a slice this is a
-    window; at its border the last row of the nearest earlier slice that has any. Only one row per slice goes
-    through a window over the whole entity.
+    The first of ``order`` must be a number without nulls; slices are stretches of it. Within a slice these are
+    windows; at its borders the last row of the nearest earlier slice that has any, and the first of the next. Only
+    one row per slice goes through a window over the whole entity. What is not used of the two is not computed.
     """
     cut = rows.withColumn("_slice", slice_of(order[0], width)).withColumn("_order", F.struct(*order)).withColumn("_row", F.struct(*names))
     within = Window.partitionBy(*entity, "_slice").orderBy("_order")
-    ends = cut.groupBy(*entity, "_slice").agg((F.min_by if ahead else F.max_by)("_row", "_order").alias("_end"))
+    ends = cut.groupBy(*entity, "_slice").agg(F.max_by("_row", "_order").alias("_last"), F.min_by("_row", "_order").alias("_first"))
     across = Window.partitionBy(*entity).orderBy("_slice")
-    step = F.lead if ahead else F.lag
-    border = ends.select(*entity, "_slice", step("_end").over(across).alias("_border"))
-    near = cut.withColumn("_in", step("_row").over(within))
-    joined = near.join(border.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate([*entity, "_slice"])], "_border"), _equal([*entity, "_slice"]), "left")
-    return joined.withColumn("_beside", F.coalesce("_in", "_border")).select(*rows.columns, "_beside")
+    border = ends.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate([*entity, "_slice"])], F.lag("_last").over(across).alias("_earlier"), F.lead("_first").over(across).alias("_later"))
+    near = cut.withColumn("_up", F.lag("_row").over(within)).withColumn("_down", F.lead("_row").over(within))
+    joined = near.join(border, _equal([*entity, "_slice"]), "left")
+    return joined.select(*rows.columns, F.coalesce("_up", "_earlier").alias("_before"), F.coalesce("_down", "_later").alias("_behind"))
 
 
 def _equal(columns: list[str]) -> Column:

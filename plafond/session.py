@@ -7,12 +7,14 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if its size, as the optimiser knows it from (compressed) files, stays at or below
 #: this. In memory that is some tens of MB.
 BROADCAST_BYTES = 4 << 20
+#: Tables of up to this size (of their files) are shuffled whole to drop repeats, which spreads the work on a few files.
+SHUFFLED_BYTES = 24 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,12 +90,16 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 def once(rows: DataFrame, key: str, order: str, *columns) -> DataFrame:
     """The latest row per key (nulls in ``order`` come first) of a table of files, with only the columns named.
 
-    Columns may be expressions. Repeated deliveries are few: only key, order and place of the rows are shuffled to
-    find them, and the rows of such keys are then told by their place. Texts stay where they are as long as the
-    repeated keys are small enough to be broadcast. Among equals the last in the files counts; rows with a null
-    key are repeats of each other.
+    Columns may be expressions. Among equals the last in the files counts; rows with a null key are repeats of each
+    other. Repeated deliveries are few: only key, order and place of the rows are shuffled to find them, and the rows
+    of such keys are then told by their place. Texts stay where they are as long as the repeated keys are small enough
+    to be broadcast. Tables of up to SHUFFLED_BYTES are ranked whole instead, with the same result.
     """
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    if size_of(rows) <= SHUFFLED_BYTES:
+        latest = Window.partitionBy("_key").orderBy(F.desc("_order"), F.desc("_file"), F.desc("_row"))
+        ranked = rows.select(F.col(key).alias("_key"), F.col(order).alias("_order"), *place, *columns).withColumn("_rank", F.row_number().over(latest))
+        return ranked.where("_rank = 1").drop("_key", "_order", "_file", "_row", "_rank")
     known = F.struct(F.col(order).alias("o"), F.col("_file").alias("f"), F.col("_row").alias("r"))
     tagged = rows.select(F.col(key).alias("_key"), *place, *columns)
     narrow = rows.select(F.col(key).alias("_key"), *place, F.col(order)).groupBy("_key").agg(F.count("*").alias("_n"), F.max(known).alias("_best"))

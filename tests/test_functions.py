@@ -225,9 +225,8 @@ def test_slices_against_whole_windows(spark, rows, width):
     df = spark.createDataFrame([(e, n, i, f"v{i}" if i % 3 else None, m) for i, (e, n, m) in enumerate(rows)], "e string, n int, i int, v string, m boolean")
     w = Window.partitionBy("e").orderBy("n", "i")
     want = {r.i: (r.a, r.b, r.c) for r in df.select("i", F.lag("v").over(w).alias("a"), F.lead("v").over(w).alias("b"), F.row_number().over(w).alias("c")).collect()}
-    before = slices.neighbours(df, ["e"], ["n", "i"], ["v"], width)
-    behind = slices.neighbours(df, ["e"], ["n", "i"], ["v"], width, ahead=True)
-    a, b = {r.i: r._beside and r._beside.v for r in before.collect()}, {r.i: r._beside and r._beside.v for r in behind.collect()}
+    beside = slices.neighbours(df, ["e"], ["n", "i"], ["v"], width).collect()
+    a, b = {r.i: r._before and r._before.v for r in beside}, {r.i: r._behind and r._behind.v for r in beside}
     c = {r.i: r.c for r in slices.numbered(df, ["e"], ["n", "i"], "c", width).collect()}
     assert {i: (a[i], b[i], c[i]) for i in a} == want
     first = {r.i: r.x for r in slices.first_after(df, ["e"], "n", {"x": F.col("m")}, width).collect()}

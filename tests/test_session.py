@@ -11,7 +11,9 @@ from plafond import session
 from plafond.sources import files
 
 
-def test_once_keeps_the_latest_row_of_each_key(spark, tmp_path):
+@pytest.mark.parametrize("whole", [0, 1 << 30])
+def test_once_keeps_the_latest_row_of_each_key(spark, tmp_path, monkeypatch, whole):
+    monkeypatch.setattr(session, "SHUFFLED_BYTES", whole)
     rows = [(1, 1, "alt"), (1, 2, "neu"), (2, None, "ohne Zeit"), (3, None, "x"), (3, 5, "y"), (4, 7, "gleich"), (4, 7, "gleich"), (None, 1, "a"), (None, 2, "b"), (5, 1, None)]
     spark.createDataFrame(rows, "k int, at int, t string").repartition(4).write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
@@ -25,6 +27,7 @@ def test_once_keeps_the_latest_row_of_each_key(spark, tmp_path):
 
 def test_once_without_a_broadcast(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(session, "SHUFFLED_BYTES", 0)
     spark.createDataFrame([(i % 7, i, f"t{i}") for i in range(40)], "k int, at int, t string").write.parquet(str(tmp_path / "t"))
     got = session.once(spark.read.parquet(str(tmp_path / "t")), "k", "at", "k", "t")
     assert {(r.k, r.t) for r in got.collect()} == {(i % 7, f"t{i}") for i in range(33, 40)}
