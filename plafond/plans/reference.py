@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plafond.functions import articles as fa
 from plafond.functions import keys as fk
 from plafond.functions import text as ft
-from plafond.operators import layout, lines, pages, reports
+from plafond.operators import lines, reports
 from plafond.operators.intervals import latest_by
 from plafond.session import broadcast_if_small, once, table
 

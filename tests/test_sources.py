@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from plafond.sources import external, files
 from plafond.streaming.ingest import ingest_new_pages, page_counts_stream
